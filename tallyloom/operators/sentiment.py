@@ -4,11 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-LETTER_RUNS = "[^a-z]+"
-
-
-def lexicon_words(column: str):
-    return F.split(F.lower(F.col(column)), LETTER_RUNS)
+from tallyloom.functions import text
 
 
 def sentiment_score(df: DataFrame, lexicon: DataFrame, key: str, words_from: str) -> DataFrame:
@@ -16,7 +12,7 @@ def sentiment_score(df: DataFrame, lexicon: DataFrame, key: str, words_from: str
 
     ``lexicon(term, polarity)`` should be a written table, so that its size is known.
     """
-    rows = df.select(key, F.explode(lexicon_words(words_from)).alias("term"))
+    rows = df.select(key, F.explode(text.english_words(F.col(words_from))).alias("term"))
     scored = rows.join(lexicon.select("term", "polarity"), "term", "left")
     mean = F.coalesce(F.avg("polarity"), F.lit(0.0))
     return (
