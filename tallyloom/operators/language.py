@@ -18,6 +18,8 @@ from tallyloom.functions import text
 # Fixed value: smoothing mass added to every language total.
 UNSEEN_MASS = 1000
 MAX_LANGUAGES = 500
+# Scores are rounded before they are ranked, so that summing order cannot change a winner.
+SCORE_DIGITS = 4
 UNKNOWN = "none"
 
 
@@ -69,7 +71,7 @@ def score_languages(
                 -F.round(
                     F.coalesce(F.col(f"s{i}"), F.lit(0.0))
                     - F.col("n_words") * F.log(F.lit(float(profile.totals[lang] + UNSEEN_MASS))),
-                    6,
+                    SCORE_DIGITS,
                 )
             ).alias("cost"),
             F.lit(lang).alias("lang"),
