@@ -82,9 +82,8 @@ def drop_words(words: Column, unwanted: list[str] | None = None) -> Column:
 
 
 def western_words(c: Column) -> Column:
-    """Words of Latin letters a-z and à-ÿ; a text without words gives one empty string."""
-    text = F.lower(F.coalesce(c, F.lit("")))
-    return F.split(F.trim(F.regexp_replace(text, "[^a-zà-ÿ]+", " ")), " ")
+    """Runs of the Latin letters a-z and à-ÿ; empty strings can stand at the ends."""
+    return F.split(F.lower(F.coalesce(c, F.lit(""))), "[^a-zà-ÿ]+")
 
 
 def english_words(c: Column) -> Column:

@@ -118,25 +118,31 @@ def build_features(prepared: DataFrame, hash_width: int | None) -> Prepared:
 @dataclass
 class Trained:
     name: str
-    best: object
-    fold_metric: float
+    tuned: tuning.Tuned
     scored: DataFrame
 
 
-def train_and_score(name: str, data: Prepared, folds: int = FOLDS, **grid) -> Trained:
-    """Cross-validate one learner and score the test rows once."""
+def search(
+    name: str, data: Prepared, folds: int = FOLDS, always: bool = False, **grid
+) -> tuning.Tuned:
+    """Choose and fit one learner; keyword lists replace its usual grid."""
     estimator = learner(name, data.width)
-    points = tuning.grid(estimator, **(grid or GRIDS[name]))
-    model = tuning.cross_validate(
+    return tuning.cross_validate(
         estimator,
-        points,
+        tuning.grid(estimator, **(grid or GRIDS[name])),
         MulticlassClassificationEvaluator(),
         data.train,
         F.concat(F.lit("fold:"), F.col("job_id").cast("string")),
         folds,
+        always,
     )
-    scored = model.transform(data.test).select("job_id", "label", "prediction")
-    return Trained(name, model.bestModel, max(model.avgMetrics), scored)
+
+
+def train_and_score(name: str, data: Prepared, folds: int = FOLDS, **grid) -> Trained:
+    """Tune one learner and score the test rows once: the scores are a written table."""
+    tuned = search(name, data, folds, **grid)
+    scored = tuned.model.transform(data.test).select("job_id", "label", "prediction")
+    return Trained(name, tuned, store.materialise(scored, f"scored-{name}"))
 
 
 def hash_width(name: str) -> int | None:
@@ -150,7 +156,7 @@ def report(results: list[Trained]) -> DataFrame:
         spark = r.scored.sparkSession
         params = [
             (r.name, "param", p.name, str(v))
-            for p, v in sorted(r.best.extractParamMap().items(), key=lambda kv: kv[0].name)
+            for p, v in sorted(r.tuned.model.extractParamMap().items(), key=lambda kv: kv[0].name)
         ]
         tables.append(
             spark.createDataFrame(params, "model string, kind string, name string, value string")

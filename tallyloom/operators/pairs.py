@@ -20,14 +20,13 @@ BLOCK_SIZE = 2048
 def active_users(ratings: DataFrame, block: int = BLOCK_SIZE) -> DataFrame | None:
     """``(user_id, blocks)`` for users with more than ``block`` rows, or None.
 
-    Action: one count per user.
+    Action: one count per user, and a second one when there are such users.
     """
     counts = ratings.groupBy("user_id").agg(F.count(F.lit(1)).alias("n"))
     users = counts.filter(F.col("n") > block).select(
         "user_id", F.ceil(F.col("n") / F.lit(block)).cast("int").alias("blocks")
     )
-    users = store.materialise(users, "active-users")
-    return None if users.isEmpty() else users
+    return None if users.isEmpty() else store.materialise(users, "active-users")
 
 
 def _cells(df: DataFrame, item: str, users: DataFrame, own: str, other: str) -> DataFrame:
@@ -58,5 +57,12 @@ def join_by_user(
         left = _cells(left, left_item, users, "left_block", "right_block")
         right = _cells(right, right_item, users, "right_block", "left_block")
         keys += ["left_block", "right_block"]
+    # The join multiplies its input, so AQE must not merge partitions that look small.
+    conf = left.sparkSession.conf
+    parts = max(
+        int(conf.get("spark.sql.shuffle.partitions")),
+        left.sparkSession.sparkContext.defaultParallelism,
+    )
+    left, right = left.repartition(parts, *keys), right.repartition(parts, *keys)
     joined = left.join(right, keys).drop("left_block", "right_block")
     return joined if condition is None else joined.filter(condition)

@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from tallyloom import store
 from tallyloom.functions.text import STOP_WORDS
 
 
@@ -36,9 +37,17 @@ def vocabulary_size(rows: DataFrame) -> DataFrame:
     return rows.agg(F.countDistinct("term").alias("vocabulary_size"))
 
 
+def document_frequencies(frequencies: DataFrame) -> DataFrame:
+    return frequencies.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
+
+
 def tfidf_long(frequencies: DataFrame, documents: DataFrame) -> DataFrame:
-    """``tf * ln((m + 1) / (df + 1))`` with ``m`` the number of rows of ``documents``."""
-    spread = frequencies.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
+    """``tf * ln((m + 1) / (df + 1))`` with ``m`` the number of rows of ``documents``.
+
+    Pass ``frequencies`` as a written table: it is read twice, and its tokenising is the
+    costly part. Action: writes the document frequencies.
+    """
+    spread = store.materialise(document_frequencies(frequencies), "document-frequencies")
     total = documents.agg(F.count(F.lit(1)).cast("double")).scalar()
     idf = F.log((total + F.lit(1.0)) / (F.col("df") + F.lit(1.0)))
     return frequencies.join(spread, "term").withColumn("tfidf", F.col("tf") * idf)

@@ -3,11 +3,12 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
 
-from pyspark.ml import Estimator
+from pyspark.ml import Estimator, Model
 from pyspark.ml.evaluation import Evaluator
-from pyspark.ml.tuning import CrossValidator, CrossValidatorModel, ParamGridBuilder
-from pyspark.sql import Column, DataFrame
+from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
+from pyspark.sql import Column, DataFrame, SparkSession
 
 from tallyloom.functions import keys
 
@@ -22,6 +23,23 @@ def grid(estimator: Estimator, **values: Sequence) -> list[dict]:
     return builder.build()
 
 
+@dataclass
+class Tuned:
+    """The model refitted on all rows, and the mean fold metric of each grid point."""
+
+    model: Model
+    points: list[dict]
+    fold_metrics: list[float]
+
+    def search(self, spark: SparkSession) -> DataFrame:
+        """``(point, params, metric)``: one row per grid point that was cross-validated."""
+        rows = [
+            (i, ", ".join(sorted(f"{p.name}={v}" for p, v in point.items())), float(m))
+            for i, (point, m) in enumerate(zip(self.points, self.fold_metrics))
+        ]
+        return spark.createDataFrame(rows, "point int, params string, metric double")
+
+
 def cross_validate(
     estimator: Estimator,
     points: list[dict],
@@ -29,12 +47,17 @@ def cross_validate(
     train: DataFrame,
     key: Column,
     folds: int,
-) -> CrossValidatorModel:
+    always: bool = False,
+) -> Tuned:
     """Fit every grid point on every fold, then the best point on all of ``train``.
 
-    Pass a ``train`` that is a written or persisted table: each fold reads it twice.
+    With one grid point there is nothing to choose, and the result is the fit on all rows
+    alone: one fit instead of ``folds + 1``. ``always`` runs the folds even so, for their
+    metric. Pass a ``train`` that is a written or persisted table: each fold reads it twice.
     """
-    return CrossValidator(
+    if len(points) == 1 and not always:
+        return Tuned(estimator.fit(train, points[0]), points, [])
+    fitted = CrossValidator(
         estimator=estimator,
         estimatorParamMaps=points,
         evaluator=evaluator,
@@ -42,3 +65,4 @@ def cross_validate(
         foldCol="fold",
         parallelism=PARALLEL_FITS,
     ).fit(train.withColumn("fold", keys.fold_number(key, folds)))
+    return Tuned(fitted.bestModel, points, list(fitted.avgMetrics))

@@ -11,9 +11,22 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def texts(spark: SparkSession, folder: str, name: str, key: str) -> DataFrame:
+    """A table of texts, spread by key when its files give fewer tasks than there are cores.
+
+    Cleaning text costs far more than reading it, so a small or badly split table would keep
+    one core busy. A table with enough partitions is left as it is, without a shuffle.
+    """
+    df = table(spark, folder, name)
+    cores = spark.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= cores:
+        return df
+    return df.repartition(cores, key)
+
+
 def postings(spark: SparkSession, folder: str) -> DataFrame:
     """Documents as job postings, with missing and dirty values put in by id."""
-    d = table(spark, folder, "documents")
+    d = texts(spark, folder, "documents", "doc_id")
     labels = table(spark, folder, "labels").select("doc_id", "quality")
     key = F.col("doc_id")
     return d.join(labels, "doc_id", "left").select(
@@ -36,7 +49,7 @@ def postings(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def tweets(spark: SparkSession, folder: str) -> DataFrame:
-    return table(spark, folder, "documents").select("doc_id", F.col("text").alias("tweet"), "lang")
+    return texts(spark, folder, "documents", "doc_id").select("doc_id", F.col("text").alias("tweet"), "lang")
 
 
 def lexicon(spark: SparkSession, folder: str) -> DataFrame:

@@ -76,7 +76,7 @@ BASELINE = (
     + """,
 base AS (
   SELECT t.user_id, t.item_id, t.rating,
-    coalesce(um.m, g.m) + coalesce(im.m, g.m) - g.m AS b
+    coalesce(um.m, g.m) + coalesce(im.m - g.m, 0.0) AS b
   FROM test t CROSS JOIN g LEFT JOIN im USING (item_id) LEFT JOIN um USING (user_id))"""
 )
 
@@ -112,7 +112,7 @@ both_ways AS (
   UNION ALL SELECT item_j, item_i, similarity FROM sims),
 near AS (
   SELECT t.user_id, t.item_id, r.item_id AS neighbour, s.similarity,
-    r.rating - (um.m + im.m - g.m) AS residual,
+    r.rating - (um.m + (im.m - g.m)) AS residual,
     row_number() OVER (PARTITION BY t.user_id, t.item_id
       ORDER BY s.similarity DESC, r.item_id) AS rank
   FROM test t JOIN train r ON r.user_id = t.user_id

@@ -225,7 +225,7 @@ def clean_items(spark, folder):
 
 @query
 def strip_markup(spark, folder):
-    return inputs.table(spark, folder, "pages").select(
+    return inputs.texts(spark, folder, "pages", "page_id").select(
         "page_id", text.strip_markup(F.col("html")).alias("body")
     )
 
@@ -233,7 +233,7 @@ def strip_markup(spark, folder):
 @query
 def stop_word_filter(spark, folder):
     words = text.drop_words(F.split(text.strip_markup(F.col("html")), " "))
-    return inputs.table(spark, folder, "pages").select(
+    return inputs.texts(spark, folder, "pages", "page_id").select(
         "page_id", F.size(words).alias("n_words"), F.concat_ws(" ", words).alias("words")
     )
 
@@ -246,7 +246,7 @@ def _prose():
 def tokens(spark, folder):
     kept = text.tokens(_prose(), keep_empty=True)
     content_words = text.content_tokens(_prose())
-    return inputs.table(spark, folder, "documents").select(
+    return inputs.texts(spark, folder, "documents", "doc_id").select(
         "doc_id",
         F.size(kept).alias("n_tokens"),
         F.size(content_words).alias("n_words"),
@@ -255,7 +255,7 @@ def tokens(spark, folder):
 
 
 def _term_rows(spark, folder):
-    docs = inputs.table(spark, folder, "documents")
+    docs = inputs.texts(spark, folder, "documents", "doc_id")
     return terms.explode_terms(docs, "doc_id", F.split(_prose(), r"\s"))
 
 
@@ -273,13 +273,13 @@ def vocabulary_size(spark, folder):
 def tfidf_long(spark, folder):
     docs = inputs.table(spark, folder, "documents")
     tf = terms.term_frequencies(_term_rows(spark, folder), "doc_id")
-    return terms.tfidf_long(tf, docs).select(
+    return terms.tfidf_long(store.materialise(tf, "term-frequencies"), docs).select(
         "doc_id", "term", "tf", "df", F.round("tfidf", 6).alias("tfidf")
     )
 
 
 def _worded(spark, folder):
-    docs = inputs.table(spark, folder, "documents")
+    docs = inputs.texts(spark, folder, "documents", "doc_id")
     words = docs.select("doc_id", text.content_tokens(_prose()).alias("words"))
     return store.materialise(words, "document-words")
 
@@ -321,7 +321,7 @@ def assembled_features(spark, folder):
 
 @query
 def language_id(spark, folder):
-    docs = inputs.table(spark, folder, "documents")
+    docs = inputs.texts(spark, folder, "documents", "doc_id")
     return tweets.identify(docs, "doc_id", "text", "lang")
 
 
@@ -501,6 +501,15 @@ def classify_forest(spark, folder):
     return _classified(spark, folder, "forest")
 
 
+@query
+def cross_validation(spark, folder):
+    """Mean fold metric of each point of a small logistic grid."""
+    table = postings.prepared(inputs.postings(spark, folder))
+    data = classify.build_features(table, classify.HASH_WIDTH)
+    grid = {"maxIter": [10], "regParam": [0.02, 0.2]}
+    return classify.search("logistic", data, FOLDS, **grid).search(spark)
+
+
 @query
 def model_report(spark, folder):
     """Best parameters and test metrics of the three vocabulary-wide learners."""

@@ -71,7 +71,10 @@ def item_mean_predictions(data: SplitRatings) -> DataFrame:
 def nearest(
     data: SplitRatings, k: int = neighbours.NEIGHBOURS, min_support: int = 1
 ) -> DataFrame:
-    similar = similarity.item_similarities(data.train, data.items, data.active, min_support)
+    similar = store.materialise(
+        similarity.item_similarities(data.train, data.items, data.active, min_support),
+        "similarities",
+    )
     rated = neighbours.with_baseline(data.train, data.items, data.users).withColumn(
         "residual", F.col("rating") - F.col("baseline")
     )

@@ -82,7 +82,7 @@ def train_sentiment(rows: DataFrame, key: str, with_topics: bool = False) -> Sen
         ready,
         F.concat(F.lit("fold:"), F.col(key).cast("string")),
         FOLDS,
-    )
+    ).model
     scored = store.materialise(
         model.transform(shaped.transform(test)).select(
             key,
