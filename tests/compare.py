@@ -40,7 +40,7 @@ def compare(spark, folder: str, name: str, query, sql: str | None) -> dict:
     if sql is None:
         return out | {"ok": got.num_rows > 0, "check": "rows"}
     start = time.time()
-    want = duck(folder).execute(sql).to_arrow_table()
+    want = duck(folder).sql(sql).to_arrow_table()
     out |= {"duck_sec": round(time.time() - start, 2), "check": "sql"}
     a, b = kinds(got), kinds(want)
     if a != b:
