@@ -106,7 +106,7 @@ def build_features(prepared: DataFrame, hash_width: int | None) -> Prepared:
         for w in words
     }
     model = Pipeline(stages=feature_stages(prepared, widths)).fit(train)
-    keep = ["job_id", "label", "features"]
+    keep = ["job_id", "label", features.bare()]
     flags = [c for c in FLAGS if c in prepared.columns]
     return Prepared(
         store.materialise(model.transform(train).select(*keep), "train-features"),

@@ -512,8 +512,8 @@ def cross_validation(spark, folder):
 
 @query
 def model_report(spark, folder):
-    """Best parameters and test metrics of the three vocabulary-wide learners."""
-    names = ["logistic", "svc", "forest"]
+    """Best parameters and test metrics of all four learners."""
+    names = ["mlp", "logistic", "svc", "forest"]
     return classify.report(postings.train(inputs.postings(spark, folder), names, FOLDS))
 
 

@@ -72,7 +72,7 @@ def train_sentiment(rows: DataFrame, key: str, with_topics: bool = False) -> Sen
     chosen = F.concat(F.lit("sample:"), F.col(key).cast("string"))
     balanced = sampling.stratified_hash_sample(train, "label", balance, chosen)
     ready = store.materialise(
-        shaped.transform(balanced).select(key, "label", "features"), "sentiment-train"
+        shaped.transform(balanced).select(key, "label", features.bare()), "sentiment-train"
     )
     learner = LogisticRegression()
     model = tuning.cross_validate(
@@ -84,7 +84,7 @@ def train_sentiment(rows: DataFrame, key: str, with_topics: bool = False) -> Sen
         FOLDS,
     ).model
     scored = store.materialise(
-        model.transform(shaped.transform(test)).select(
+        model.transform(shaped.transform(test).select(key, "label", features.bare())).select(
             key,
             "label",
             "prediction",
