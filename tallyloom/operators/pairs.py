@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from tallyloom import store
 
-BLOCK_SIZE = 2048
+BLOCK_SIZE = 1024
 
 
 def active_users(ratings: DataFrame, block: int = BLOCK_SIZE) -> DataFrame | None:
