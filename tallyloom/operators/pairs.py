@@ -10,23 +10,49 @@ are kept; users below the limit, usually all of them, are joined as they are.
 
 from __future__ import annotations
 
+import math
+from dataclasses import dataclass
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tallyloom import store
 
 BLOCK_SIZE = 1024
+MATCHES_PER_TASK = 20_000_000
+MAX_PARTITIONS = 200_000
 
 
-def active_users(ratings: DataFrame, block: int = BLOCK_SIZE) -> DataFrame | None:
-    """``(user_id, blocks)`` for users with more than ``block`` rows, or None.
+@dataclass(frozen=True)
+class UserLoad:
+    """How to join a user's rows with each other.
 
-    Action: one count per user, and a second one when there are such users.
+    ``active`` is ``(user_id, blocks)`` for the users to cut up, or None when there are none.
+    ``partitions`` follows the number of matches and not the size of the input, which says
+    little about a join that multiplies its rows.
     """
+
+    active: DataFrame | None
+    partitions: int
+
+
+def user_load(ratings: DataFrame, block: int = BLOCK_SIZE) -> UserLoad:
+    """Action: one count per user, reduced to one row; a second pass only when a user has
+    more than ``block`` rows."""
+    spark = ratings.sparkSession
     counts = ratings.groupBy("user_id").agg(F.count(F.lit(1)).alias("n"))
-    users = counts.filter(F.col("n") > block).select(
+    n = F.col("n").cast("double")
+    total = counts.agg(F.max("n").alias("most"), F.sum(n * n).alias("matches")).first()
+    partitions = max(
+        int(spark.conf.get("spark.sql.shuffle.partitions")),
+        spark.sparkContext.defaultParallelism,
+        min(MAX_PARTITIONS, math.ceil((total["matches"] or 0) / MATCHES_PER_TASK)),
+    )
+    if (total["most"] or 0) <= block:
+        return UserLoad(None, partitions)
+    active = counts.filter(F.col("n") > block).select(
         "user_id", F.ceil(F.col("n") / F.lit(block)).cast("int").alias("blocks")
     )
-    return None if users.isEmpty() else store.materialise(users, "active-users")
+    return UserLoad(store.materialise(active, "active-users"), partitions)
 
 
 def _cells(df: DataFrame, item: str, users: DataFrame, own: str, other: str) -> DataFrame:
@@ -48,21 +74,16 @@ def join_by_user(
     right: DataFrame,
     left_item: str,
     right_item: str,
-    users: DataFrame | None,
+    load: UserLoad,
     condition: Column | None = None,
 ) -> DataFrame:
     """Inner join on ``user_id``; both sides must name their other columns differently."""
     keys = ["user_id"]
-    if users is not None:
-        left = _cells(left, left_item, users, "left_block", "right_block")
-        right = _cells(right, right_item, users, "right_block", "left_block")
+    if load.active is not None:
+        left = _cells(left, left_item, load.active, "left_block", "right_block")
+        right = _cells(right, right_item, load.active, "right_block", "left_block")
         keys += ["left_block", "right_block"]
-    # The join multiplies its input, so AQE must not merge partitions that look small.
-    conf = left.sparkSession.conf
-    parts = max(
-        int(conf.get("spark.sql.shuffle.partitions")),
-        left.sparkSession.sparkContext.defaultParallelism,
-    )
-    left, right = left.repartition(parts, *keys), right.repartition(parts, *keys)
+    # A fixed number, because AQE would merge partitions whose input looks small.
+    left, right = left.repartition(load.partitions, *keys), right.repartition(load.partitions, *keys)
     joined = left.join(right, keys).drop("left_block", "right_block")
     return joined if condition is None else joined.filter(condition)

@@ -40,7 +40,7 @@ def user_residual_means(ratings: DataFrame, means: DataFrame) -> DataFrame:
 def item_similarities(
     ratings: DataFrame,
     means: DataFrame,
-    users: DataFrame | None = None,
+    load: pairs.UserLoad,
     min_support: int = 1,
 ) -> DataFrame:
     """``(item_i, item_j, similarity, support)`` with ``item_i < item_j``.
@@ -48,13 +48,13 @@ def item_similarities(
     The co-rated rows are never stored: the join feeds a partial aggregation in the same
     stage, so what is shuffled is at most one row per item pair and task. Centred values
     travel with the ratings, which spares joining the much larger pair table with the means.
-    ``users`` comes from ``pairs.active_users``.
+    ``load`` comes from ``pairs.user_load``.
     """
     x = centre(ratings, means)
     left = x.select("user_id", F.col("item_id").alias("item_i"), F.col("centred").alias("x"))
     right = x.select("user_id", F.col("item_id").alias("item_j"), F.col("centred").alias("y"))
     both = pairs.join_by_user(
-        left, right, "item_i", "item_j", users, F.col("item_i") < F.col("item_j")
+        left, right, "item_i", "item_j", load, F.col("item_i") < F.col("item_j")
     )
     sums = both.groupBy("item_i", "item_j").agg(
         F.sum(F.col("x") * F.col("y")).alias("xy"),

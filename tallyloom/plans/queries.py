@@ -392,7 +392,7 @@ def global_mean(spark, folder):
 def item_similarity(spark, folder):
     rows = _rating_table(spark, folder)
     means = store.materialise(similarity.item_means(rows), "item-means")
-    return similarity.item_similarities(rows, means, pairs.active_users(rows))
+    return similarity.item_similarities(rows, means, pairs.user_load(rows))
 
 
 @query
@@ -400,7 +400,7 @@ def supported_similarity(spark, folder):
     """Pairs rated together by 150 users or more."""
     rows = _rating_table(spark, folder)
     means = store.materialise(similarity.item_means(rows), "item-means")
-    return similarity.item_similarities(rows, means, pairs.active_users(rows), 150)
+    return similarity.item_similarities(rows, means, pairs.user_load(rows), 150)
 
 
 def _split(spark, folder):

@@ -25,17 +25,17 @@ SPLIT = [80, 20]
 
 @dataclass
 class SplitRatings:
-    """Written rating rows with their part, train-side means, and the very active users."""
+    """Written rating rows with their part, train-side means, and the load per user."""
 
     train: DataFrame
     test: DataFrame
     items: DataFrame
     users: DataFrame
-    active: DataFrame | None
+    load: pairs.UserLoad
 
 
 def split_ratings(ratings: DataFrame, block: int = pairs.BLOCK_SIZE) -> SplitRatings:
-    """Actions: writes the ratings, both tables of means, and the list of active users.
+    """Actions: writes the ratings, both tables of means, and counts rows per user.
 
     The means come from train rows only.
     """
@@ -50,7 +50,7 @@ def split_ratings(ratings: DataFrame, block: int = pairs.BLOCK_SIZE) -> SplitRat
         test,
         store.materialise(similarity.item_means(train), "item-means"),
         store.materialise(similarity.user_means(train), "user-means"),
-        pairs.active_users(rows, block),
+        pairs.user_load(rows, block),
     )
 
 
@@ -72,13 +72,13 @@ def nearest(
     data: SplitRatings, k: int = neighbours.NEIGHBOURS, min_support: int = 1
 ) -> DataFrame:
     similar = store.materialise(
-        similarity.item_similarities(data.train, data.items, data.active, min_support),
+        similarity.item_similarities(data.train, data.items, data.load, min_support),
         "similarities",
     )
     rated = neighbours.with_baseline(data.train, data.items, data.users).withColumn(
         "residual", F.col("rating") - F.col("baseline")
     )
-    return neighbours.top_neighbours(data.test, rated, similar, data.active, k)
+    return neighbours.top_neighbours(data.test, rated, similar, data.load, k)
 
 
 def neighbour_predictions(

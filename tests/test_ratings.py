@@ -52,12 +52,12 @@ def brute_similarities(rows):
 
 @pytest.mark.parametrize("block", [2048, 4, 7])
 def test_similarities_are_the_same_for_any_block_size(spark, rows, block):
-    active = pairs.active_users(rows, block)
-    assert (active is None) == (block == 2048)
+    load = pairs.user_load(rows, block)
+    assert (load.active is None) == (block == 2048)
     means = store.materialise(similarity.item_means(rows), "test-means")
     got = {
         (r.item_i, r.item_j): (r.similarity, r.support)
-        for r in similarity.item_similarities(rows, means, active).collect()
+        for r in similarity.item_similarities(rows, means, load).collect()
     }
     want = brute_similarities(RATINGS)
     assert got.keys() == want.keys()
@@ -69,17 +69,24 @@ def test_similarities_are_the_same_for_any_block_size(spark, rows, block):
 def test_active_user_work_is_spread(spark):
     """One user holding most rows: no join cell sees more than about block² matches."""
     rows = spark.range(400).selectExpr("1L user_id", "id item_id", "1 rating")
-    users = pairs.active_users(rows, 50)
-    assert users.first().blocks == 8
-    cells = pairs._cells(rows, "item_id", users, "own", "other")
+    load = pairs.user_load(rows, 50)
+    assert load.active.first().blocks == 8
+    cells = pairs._cells(rows, "item_id", load.active, "own", "other")
     assert cells.count() == 400 * 8
     sizes = [r["count"] for r in cells.groupBy("own", "other").count().collect()]
     assert len(sizes) == 64 and max(sizes) < 100
 
 
+def test_partitions_follow_the_matches(spark, monkeypatch):
+    monkeypatch.setattr(pairs, "MATCHES_PER_TASK", 1000)
+    rows = spark.range(400).selectExpr("1L user_id", "id item_id", "1 rating")
+    assert pairs.user_load(rows).partitions == 160
+    assert pairs.user_load(rows.limit(0)).active is None
+
+
 def test_min_support(spark, rows):
     means = store.materialise(similarity.item_means(rows), "test-means")
-    kept = similarity.item_similarities(rows, means, None, min_support=5)
+    kept = similarity.item_similarities(rows, means, pairs.user_load(rows), 5)
     want = {k for k, (_, n) in brute_similarities(RATINGS).items() if n >= 5}
     assert {(r.item_i, r.item_j) for r in kept.collect()} == want
 
@@ -137,7 +144,7 @@ def test_ties_go_to_the_lower_neighbour(spark):
     similar = spark.createDataFrame(
         [(1, 5, 0.5), (2, 5, 0.5), (3, 5, 0.9)], "item_i long, item_j long, similarity double"
     )
-    near = neighbours.top_neighbours(test, train, similar, None, 2).collect()
+    near = neighbours.top_neighbours(test, train, similar, pairs.UserLoad(None, 2), 2).collect()
     assert sorted((r.rank, r.neighbour) for r in near) == [(1, 3), (2, 1)]
 
 
