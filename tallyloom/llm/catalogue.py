@@ -3,19 +3,29 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import wraps
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tallyloom.llm import exact_dedup
-from tallyloom.llm.common import table
+from tallyloom import store
+from tallyloom.llm import exact_dedup, records
+from tallyloom.llm.common import ids_crc32, ship, table
+
+WORDS = public_tokenizers.path("word_bpe_49k.json")
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
 
 def query(fn):
-    QUERIES[fn.__name__] = fn
-    return fn
+    @wraps(fn)
+    def shipped(spark: SparkSession, folder: str) -> DataFrame:
+        ship(spark)
+        return fn(spark, folder)
+
+    QUERIES[fn.__name__] = shipped
+    return shipped
 
 
 @query
@@ -38,3 +48,15 @@ SELECT doc_id, keep_id, group_size, doc_id IS NOT DISTINCT FROM keep_id AS kept,
        sha256(body) AS text_sha256
 FROM rows JOIN g USING (body)
 """
+
+
+@query
+def op9_token_records(spark, folder):
+    path = store.new_path(spark, "token-records")
+    records.write(table(spark, folder, "documents"), path, WORDS, end=2)
+    rows = records.read(spark, path).select(
+        "shard", "record", "doc_id", F.size("ids").cast("long").alias("n_tokens"),
+        ids_crc32("ids").alias("ids_crc32"),
+    )
+    starts = records.index(spark, path).select("shard", "record", "start")
+    return rows.join(starts, ["shard", "record"]).select("doc_id", "start", "n_tokens", "ids_crc32")

@@ -2,7 +2,16 @@
 
 from __future__ import annotations
 
+import shutil
+import tempfile
+import zlib
+from functools import lru_cache
+from pathlib import Path
+
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql.types import LongType
 
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 LOWER = UPPER.lower()
@@ -12,6 +21,17 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder.rstrip('/')}/{name}.parquet")
 
 
+@lru_cache(maxsize=None)
+def _shipped(app: str) -> str:
+    root = Path(__file__).resolve().parents[2]
+    return shutil.make_archive(f"{tempfile.mkdtemp()}/tallyloom", "zip", root, "tallyloom")
+
+
+def ship(spark: SparkSession) -> None:
+    """Hand this package to the Python workers, which may start in any folder."""
+    spark.sparkContext.addPyFile(_shipped(spark.sparkContext.applicationId))
+
+
 def take(df: DataFrame, *names: str) -> DataFrame:
     """The named columns only, also where another column has the same name in other case."""
     columns = df.columns
@@ -34,3 +54,9 @@ def fold(doc_id: Column, folds: int) -> Column:
 def workers(spark: SparkSession) -> int:
     """How many tasks an exchange of this session makes."""
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+@F.pandas_udf(LongType())
+def ids_crc32(ids: pd.Series) -> pd.Series:
+    """Unsigned CRC-32 of the ids as little-endian unsigned 32-bit integers."""
+    return ids.map(lambda x: zlib.crc32(np.asarray(x, "<u4").tobytes()))
