@@ -20,7 +20,8 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from tokenizers import Tokenizer
 
-LIMIT = 500_000
+LIMIT = 300_000
+ASKED = 2_000
 BLOCK = 4_000_000
 SPECIAL = "<|"
 PLAIN = r"\A[\t\n\r -~À-ÖØ-öø-ÿ]*\z"
@@ -101,7 +102,9 @@ class WordTokens:
         words = [p for p in pieces if p.isascii() and p.isalpha() and p.islower()]
         others = list(pieces.difference(words))
         ids = [[t.id for t in self.model.tokenize(p)] for p in words]
-        ids += [e.ids for e in self.tokenizer.encode_batch(others, add_special_tokens=False)]
+        for i in range(0, len(others), ASKED):  # the library's answers are large
+            some = self.tokenizer.encode_batch(others[i : i + ASKED], add_special_tokens=False)
+            ids += [e.ids for e in some]
         ends = np.cumsum([0, *map(len, ids)]).tolist()
         flat = np.fromiter((i for found in ids for i in found), "<u4").tobytes()
         return {p: flat[4 * a : 4 * b] for p, a, b in zip(words + others, ends, ends[1:])}
