@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tallyloom import store
-from tallyloom.llm import exact_dedup, records
+from tallyloom.llm import exact_dedup, packing, records
 from tallyloom.llm.common import ids_crc32, ship, table
 
 WORDS = public_tokenizers.path("word_bpe_49k.json")
@@ -60,3 +60,12 @@ def op9_token_records(spark, folder):
     )
     starts = records.index(spark, path).select("shard", "record", "start")
     return rows.join(starts, ["shard", "record"]).select("doc_id", "start", "n_tokens", "ids_crc32")
+
+
+@query
+def op2_best_fit_packing(spark, folder):
+    found = packing.pieces(table(spark, folder, "documents"), WORDS, end=0)
+    digests = found.withColumn("ids_crc32", ids_crc32("ids")).drop("ids")
+    return packing.pack(digests).select(
+        "doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset"
+    )
