@@ -27,9 +27,18 @@ def _shipped(app: str) -> str:
     return shutil.make_archive(f"{tempfile.mkdtemp()}/tallyloom", "zip", root, "tallyloom")
 
 
+ARROW_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
+
 def ship(spark: SparkSession) -> None:
-    """Hand this package to the Python workers, which may start in any folder."""
+    """Hand this package to the Python workers, which may start in any folder.
+
+    Also asks for smaller Arrow batches than Spark's 10,000 rows, unless the session has a
+    number of its own: rows hold whole texts here, and JVM and worker each keep a batch or two.
+    """
     spark.sparkContext.addPyFile(_shipped(spark.sparkContext.applicationId))
+    if spark.conf.get(ARROW_ROWS) == "10000":
+        spark.conf.set(ARROW_ROWS, "1000")
 
 
 def take(df: DataFrame, *names: str) -> DataFrame:
