@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tallyloom import store
-from tallyloom.llm import exact_dedup, packing, records
+from tallyloom.llm import exact_dedup, packing, records, simhash
 from tallyloom.llm.common import ids_crc32, ship, table
 
 WORDS = public_tokenizers.path("word_bpe_49k.json")
@@ -69,3 +69,9 @@ def op2_best_fit_packing(spark, folder):
     return packing.pack(digests).select(
         "doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset"
     )
+
+
+@query
+def op1_simhash(spark, folder):
+    rows = simhash.near_duplicates(table(spark, folder, "documents"))
+    return rows.select("doc_id", simhash.hexadecimal(F.col("fp")).alias("fingerprint"), "component_id")
