@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tallyloom import store
 from tallyloom.llm import exact_dedup, packing, records, simhash
-from tallyloom.llm.common import ids_crc32, ship, table
+from tallyloom.llm.common import ship, table
 
 WORDS = public_tokenizers.path("word_bpe_49k.json")
 
@@ -55,8 +55,8 @@ def op9_token_records(spark, folder):
     path = store.new_path(spark, "token-records")
     records.write(table(spark, folder, "documents"), path, WORDS, end=2)
     rows = records.read(spark, path).select(
-        "shard", "record", "doc_id", F.size("ids").cast("long").alias("n_tokens"),
-        ids_crc32("ids").alias("ids_crc32"),
+        "shard", "record", "doc_id", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
+        F.crc32("ids").alias("ids_crc32"),
     )
     starts = records.index(spark, path).select("shard", "record", "start")
     return rows.join(starts, ["shard", "record"]).select("doc_id", "start", "n_tokens", "ids_crc32")
@@ -65,7 +65,7 @@ def op9_token_records(spark, folder):
 @query
 def op2_best_fit_packing(spark, folder):
     found = packing.pieces(table(spark, folder, "documents"), WORDS, end=0)
-    digests = found.withColumn("ids_crc32", ids_crc32("ids")).drop("ids")
+    digests = found.withColumn("ids_crc32", F.crc32("ids")).drop("ids")
     return packing.pack(digests).select(
         "doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset"
     )

@@ -4,14 +4,10 @@ from __future__ import annotations
 
 import shutil
 import tempfile
-import zlib
 from functools import lru_cache
 from pathlib import Path
 
-import numpy as np
-import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
-from pyspark.sql.types import LongType
 
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 LOWER = UPPER.lower()
@@ -38,7 +34,7 @@ def ship(spark: SparkSession) -> None:
     """
     spark.sparkContext.addPyFile(_shipped(spark.sparkContext.applicationId))
     if spark.conf.get(ARROW_ROWS) == "10000":
-        spark.conf.set(ARROW_ROWS, "1000")
+        spark.conf.set(ARROW_ROWS, "2000")
 
 
 def take(df: DataFrame, *names: str) -> DataFrame:
@@ -63,9 +59,3 @@ def fold(doc_id: Column, folds: int) -> Column:
 def workers(spark: SparkSession) -> int:
     """How many tasks an exchange of this session makes."""
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
-
-
-@F.pandas_udf(LongType())
-def ids_crc32(ids: pd.Series) -> pd.Series:
-    """Unsigned CRC-32 of the ids as little-endian unsigned 32-bit integers."""
-    return ids.map(lambda x: zlib.crc32(np.asarray(x, "<u4").tobytes()))

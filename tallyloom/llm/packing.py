@@ -48,14 +48,17 @@ Plan = list[tuple[dict[int, int], int]]
 
 
 def pieces(docs: DataFrame, vocabulary: str, end: int, capacity: int = CAPACITY) -> DataFrame:
-    """doc_id, piece, start, length, ids: every document's ids and the end id, cut to size."""
+    """doc_id, piece, start, length, ids: every document's ids and the end id, cut to size.
+
+    ``ids`` holds them as little-endian unsigned 32-bit numbers.
+    """
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = word_tokens(vocabulary)
         for batch in batches:
             rows, size = [], 0
             for doc_id, found in zip(batch.column(0).to_pylist(), encoder.encode(batch.column(1))):
-                ids = np.append(found, np.uint32(end)).astype(np.int32)
+                ids = np.append(found, np.uint32(end)).astype("<u4")
                 for number, start in enumerate(range(0, len(ids), capacity)):
                     rows.append((doc_id, number, start, ids[start : start + capacity]))
                 size += len(ids)
@@ -64,21 +67,19 @@ def pieces(docs: DataFrame, vocabulary: str, end: int, capacity: int = CAPACITY)
                     rows, size = [], 0
             yield _pieces(rows)
 
-    schema = "doc_id long, piece int, start long, length long, ids array<int>"
+    schema = "doc_id long, piece int, start long, length long, ids binary"
     return common.take(docs, "doc_id", "text").mapInArrow(cut, schema)
 
 
 def _pieces(rows: list[tuple]) -> pa.RecordBatch:
     doc_id, piece, start, ids = zip(*rows) if rows else ((), (), (), ())
     length = [len(x) for x in ids]
-    ends = np.cumsum([0, *length], dtype=np.int32)
-    flat = np.concatenate(ids) if ids else np.empty(0, np.int32)
     columns = {
         "doc_id": pa.array(doc_id, pa.int64()),
         "piece": pa.array(piece, pa.int32()),
         "start": pa.array(start, pa.int64()),
         "length": pa.array(length, pa.int64()),
-        "ids": pa.ListArray.from_arrays(ends, flat),
+        "ids": pa.array([x.tobytes() for x in ids], pa.binary()),
     }
     return pa.RecordBatch.from_pydict(columns)
 

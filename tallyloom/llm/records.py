@@ -124,8 +124,7 @@ def _batch(rows: list[tuple], ids: list[np.ndarray] | None) -> pa.RecordBatch:
     kinds = [pa.int32()] + [pa.int64()] * (len(names) - 1)
     columns = [pa.array(c, k) for c, k in zip(zip(*rows), kinds)]
     if ids is not None:
-        ends = np.cumsum([0, *map(len, ids)], dtype=np.int32)
-        columns.append(pa.ListArray.from_arrays(ends, np.concatenate(ids).astype(np.int32)))
+        columns.append(pa.array([x.astype("<u4").tobytes() for x in ids], pa.binary()))
         names.append("ids")
     return pa.RecordBatch.from_arrays(columns, names)
 
@@ -151,7 +150,7 @@ def _scan(files: DataFrame, with_ids: bool) -> DataFrame:
                 if rows:
                     yield _batch(rows, ids if with_ids else None)
 
-    return files.mapInArrow(records, FIELDS + (", ids array<int>" if with_ids else ""))
+    return files.mapInArrow(records, FIELDS + (", ids binary" if with_ids else ""))
 
 
 def index(spark: SparkSession, path: str) -> DataFrame:
@@ -161,7 +160,8 @@ def index(spark: SparkSession, path: str) -> DataFrame:
 def read(spark: SparkSession, path: str) -> DataFrame:
     """Every record, checked: shard, record, doc_id, offset, length, before, n_tokens, ids.
 
-    ``before`` counts the ids ahead of the record in its shard.
+    ``before`` counts the ids ahead of the record in its shard; ``ids`` holds them as
+    little-endian unsigned 32-bit numbers.
     """
     return _scan(_files(spark, path), with_ids=True)
 
@@ -184,12 +184,12 @@ def fetch(spark: SparkSession, path: str, wanted: DataFrame) -> DataFrame:
                         {
                             "position": pa.array([place["position"]], pa.int64()),
                             "doc_id": pa.array([doc_id], pa.int64()),
-                            "ids": pa.array([ids.astype(np.int32)], pa.list_(pa.int32())),
+                            "ids": pa.array([ids.astype("<u4").tobytes()], pa.binary()),
                         }
                     )
 
     joined = _files(spark, path).join(by_file, "shard").select("shard", "content", "places")
-    return joined.mapInArrow(cut, "position long, doc_id long, ids array<int>")
+    return joined.mapInArrow(cut, "position long, doc_id long, ids binary")
 
 
 def shuffled(spark: SparkSession, path: str, seed: int) -> DataFrame:

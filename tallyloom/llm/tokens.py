@@ -20,9 +20,9 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from tokenizers import Tokenizer
 
-LIMIT = 200_000
+LIMIT = 300_000
 ASKED = 2_000
-BLOCK = 2_000_000
+BLOCK = 6_000_000
 SPECIAL = "<|"
 PLAIN = r"\A[\t\n\r -~À-ÖØ-öø-ÿ]*\z"
 PIECES = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^\sa-z0-9ß-öø-ÿ]+")
