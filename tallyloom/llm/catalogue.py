@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tallyloom import store
-from tallyloom.llm import exact_dedup, packing, records, simhash
+from tallyloom.llm import exact_dedup, packing, records, simhash, topk
 from tallyloom.llm.common import ship, table
 
 WORDS = public_tokenizers.path("word_bpe_49k.json")
@@ -75,3 +75,26 @@ def op2_best_fit_packing(spark, folder):
 def op1_simhash(spark, folder):
     rows = simhash.near_duplicates(table(spark, folder, "documents"))
     return rows.select("doc_id", simhash.hexadecimal(F.col("fp")).alias("fingerprint"), "component_id")
+
+
+@query
+def op7_top_k(spark, folder):
+    return topk.top_k(table(spark, folder, "embeddings"), F.col("vec_id") % 100 == 0, k=10)
+
+
+ORACLES["op7_top_k"] = """
+WITH v AS (
+  SELECT vec_id, [CAST(floor(1024 * CAST(x AS DOUBLE)) AS BIGINT) for x in embedding] AS e
+  FROM embeddings
+  WHERE embedding IS NOT NULL
+    AND len([x for x in embedding if x IS NULL OR NOT isfinite(x)]) = 0
+), s AS (
+  SELECT q.vec_id AS query_id, c.vec_id AS vec_id,
+         CAST(coalesce(list_sum([q.e[i] * c.e[i] for i in range(1, len(q.e) + 1)]), 0) AS BIGINT) AS score
+  FROM v q JOIN v c ON q.vec_id % 100 = 0 AND q.vec_id <> c.vec_id AND len(q.e) = len(c.e)
+), r AS (
+  SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank
+  FROM s
+)
+SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 10
+"""
