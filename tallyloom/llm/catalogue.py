@@ -9,11 +9,45 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tallyloom import store
-from tallyloom.llm import exact_dedup, packing, records, simhash, topk
+from tallyloom.llm import exact_dedup, packing, records, simhash, topk, url_filter
 from tallyloom.llm.common import ship, table
 
 WORDS = public_tokenizers.path("word_bpe_49k.json")
 
+# The rules that the query has to apply.
+URL_RULES = """
+allow org/
+block example.org/es/
+block example.org/en/1
+allow com/fr/
+block com/de/
+"""
+
+# Labelled hosts and paths from which the regression learns: 1 blocks.
+BLOCKED_WORDS = """
+casino poker bets betting jackpot slots roulette lottery gamble win-big casino-win free-bets
+adult adult-x xxx porn sex-cams escort hot-girls nude cheap-pills pills viagra pharma-deals
+spam spam-farm link-farm click-bait ads ads-track tracker ad-server popunder malware phishing
+warez crack-keys torrent-free fake-login free-money get-rich replica-watches
+"""
+ALLOWED_WORDS = """
+news blog www m shop store mail docs wiki forum library museum school college university city
+weather travel recipes garden music books film theatre science history maths physics health
+hospital clinic bank post train bus airport sport football tennis chess photo art design code
+data maps help support status about contact press jobs events calendar archive research journal
+review magazine radio television garden-club town-hall open-source public-library tech-notes
+"""
+
+
+def labelled_urls(spark: SparkSession) -> DataFrame:
+    """The words as hosts, alone and below another name, with the same paths for both labels."""
+    kinds = ((word, label) for label, words in enumerate((ALLOWED_WORDS, BLOCKED_WORDS)) for word in words.split())
+    hosts = ("{}.example", "www.{}.example", "m.{}.example", "blog.{}.example")
+    paths = ("/", "/en/1", "/de/2.html", "/fr/3?page=2", "/es/4#top")
+    rows = [(f"https://{h.format(w)}{p}", label) for w, label in kinds for h in hosts for p in paths]
+    return spark.createDataFrame(rows, "url string, label int")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
@@ -98,3 +132,10 @@ WITH v AS (
 )
 SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 10
 """
+
+
+@query
+def op6_url_filter(spark, folder):
+    pages, labelled = table(spark, folder, "pages"), labelled_urls(spark)
+    rows = url_filter.judge(pages, url_filter.rules(URL_RULES), labelled, "page_id")
+    return rows.select("page_id", "host", "path", "rule", "verdict", "score")

@@ -1,12 +1,12 @@
 """Token ids of texts by a vocabulary file of the ``tokenizers`` library.
 
-The library is asked once for each new piece of text; later ones are looked up. Texts of
-ASCII and Latin-1 letters are cut at white space and where the vocabulary's own pattern cuts;
-all others only at white space, which no token spans. Either way a text's ids are those of its
-pieces, one after another. A lower-case ASCII word needs none of the library's Unicode steps,
-so its model is asked directly. The table takes the first ``LIMIT`` pieces, the frequent ones
-among them, and the rest is asked for again. Arrow finds the different runs of a block of
-texts, so Python handles each of them once and not every word.
+Texts of ASCII and Latin-1 letters are cut at white space and where the vocabulary's own pattern
+cuts; a text's ids are those of its pieces, one after another. Such texts need none of the
+library's Unicode steps but the lower case, so its model is asked directly, once for each new
+piece; later ones are looked up. All other texts go to the library whole. The table takes the
+first ``LIMIT`` pieces, the frequent ones among them, and the rest is asked for again. Arrow
+finds the different runs of a block of texts, so Python handles each of them once and not
+every word.
 """
 
 from __future__ import annotations
@@ -20,14 +20,15 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from tokenizers import Tokenizer
 
-LIMIT = 300_000
-ASKED = 2_000
-BLOCK = 6_000_000
+LIMIT = 250_000
+BLOCK = 3_000_000
 SPECIAL = "<|"
+# The sign that stands for each byte in byte-level vocabularies: itself where it prints.
+PRINTED = [*range(33, 127), *range(161, 173), *range(174, 256)]
+OTHERS = [b for b in range(256) if b not in PRINTED]
+SIGNS = {b: b for b in PRINTED} | {b: 256 + i for i, b in enumerate(OTHERS)}
 PLAIN = r"\A[\t\n\r -~À-ÖØ-öø-ÿ]*\z"
 PIECES = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^\sa-z0-9ß-öø-ÿ]+")
-# Python also takes the four separators U+001C to U+001F for white space.
-SPACES = re.compile(r"[^\S\x1c-\x1f]+")
 
 
 def blocks(texts: pa.Array) -> Iterator[pa.Array]:
@@ -61,7 +62,7 @@ class WordTokens:
     def _plain(self, texts: pa.Array) -> Iterator[np.ndarray]:
         split = pc.ascii_split_whitespace(pc.utf8_lower(texts))
         runs = split.flatten().dictionary_encode()
-        ids = self._runs(runs.dictionary.to_pylist())
+        ids = self._runs(runs.dictionary.to_numpy(zero_copy_only=False).tolist())
         size = np.fromiter(map(len, ids), np.int64, len(ids)) // 4
         first = np.cumsum(size) - size
         code = runs.indices.to_numpy()
@@ -74,12 +75,7 @@ class WordTokens:
         return (flat[a:b] for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist()))
 
     def _other(self, text: str) -> np.ndarray:
-        runs = SPACES.split(text)
-        answers = self._ask(set(runs).difference(self.known))
-        self._learn(answers)
-        return np.frombuffer(
-            b"".join(answers[r] if r in answers else self.known[r] for r in runs), "<u4"
-        )
+        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4")
 
     def _runs(self, runs: list[str]) -> list[bytes]:
         """Ids of lower-case runs without white space."""
@@ -99,15 +95,11 @@ class WordTokens:
             self.known.update(ids)
 
     def _ask(self, pieces: set[str]) -> dict[str, bytes]:
-        words = [p for p in pieces if p.isascii() and p.isalpha() and p.islower()]
-        others = list(pieces.difference(words))
-        ids = [[t.id for t in self.model.tokenize(p)] for p in words]
-        for i in range(0, len(others), ASKED):  # the library's answers are large
-            some = self.tokenizer.encode_batch(others[i : i + ASKED], add_special_tokens=False)
-            ids += [e.ids for e in some]
+        signs = (p.encode().decode("latin-1").translate(SIGNS) for p in pieces)
+        ids = [[t.id for t in self.model.tokenize(p)] for p in signs]
         ends = np.cumsum([0, *map(len, ids)]).tolist()
         flat = np.fromiter((i for found in ids for i in found), "<u4").tobytes()
-        return {p: flat[4 * a : 4 * b] for p, a, b in zip(words + others, ends, ends[1:])}
+        return {p: flat[4 * a : 4 * b] for p, a, b in zip(pieces, ends, ends[1:])}
 
 
 @lru_cache(maxsize=4)
