@@ -9,9 +9,10 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tallyloom import store
-from tallyloom.llm import exact_dedup, packing, records, simhash, topk, url_filter
+from tallyloom.llm import bpe, exact_dedup, packing, records, simhash, topk, url_filter
 from tallyloom.llm.common import ship, table
 
+BYTES = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 WORDS = public_tokenizers.path("word_bpe_49k.json")
 
 # The rules that the query has to apply.
@@ -139,3 +140,14 @@ def op6_url_filter(spark, folder):
     pages, labelled = table(spark, folder, "pages"), labelled_urls(spark)
     rows = url_filter.judge(pages, url_filter.rules(URL_RULES), labelled, "page_id")
     return rows.select("page_id", "host", "path", "rule", "verdict", "score")
+
+
+@query
+def op5_byte_bpe(spark, folder):
+    rows = bpe.encode(table(spark, folder, "documents"), BYTES, public_tokenizers.PATTERN)
+    return rows.select(
+        "doc_id",
+        F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.array_join(F.col("ids").cast("array<string>"), ",").cast("binary"), 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
