@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tallyloom import store
-from tallyloom.llm import bpe, exact_dedup, packing, records, simhash, topk, url_filter
+from tallyloom.llm import bpe, exact_dedup, packing, pii, records, simhash, topk, url_filter
 from tallyloom.llm.common import ship, table
 
 BYTES = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
@@ -151,3 +151,22 @@ def op5_byte_bpe(spark, folder):
         F.sha2(F.array_join(F.col("ids").cast("array<string>"), ",").cast("binary"), 256).alias("ids_sha256"),
         F.sha2("decoded", 256).alias("decoded_sha256"),
     )
+
+
+@query
+def op8_pii(spark, folder):
+    """``spans`` and ``base_sha256`` are written kind:start:end, joined by commas."""
+    rows = pii.detect(table(spark, folder, "documents"))
+    base = F.filter("spans", lambda s: s["base"])
+
+    def written(spans):
+        name = F.array(*map(F.lit, pii.KINDS))
+        one = F.transform(spans, lambda s: F.concat_ws(":", name[s["kind"]], s["start"], s["end"]))
+        return F.array_join(one, ",")
+
+    def count(kind):
+        return F.size(F.filter(base, lambda s: s["kind"] == kind)).cast("long")
+
+    counts = [count(k).alias(f"n_{name}") for k, name in enumerate(pii.KINDS)]
+    digest = F.sha2(written(base).cast("binary"), 256)
+    return rows.select("doc_id", *counts, digest.alias("base_sha256"), written("spans").alias("spans"))
