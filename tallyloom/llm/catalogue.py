@@ -9,8 +9,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tallyloom import store
-from tallyloom.llm import bpe, exact_dedup, packing, pii, records, simhash, topk, url_filter
-from tallyloom.llm.common import ship, table
+from tallyloom.llm import bpe, exact_dedup, packing, pii, quality, records, simhash, topk, url_filter
+from tallyloom.llm.common import fold, ship, table
 
 BYTES = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 WORDS = public_tokenizers.path("word_bpe_49k.json")
@@ -170,3 +170,16 @@ def op8_pii(spark, folder):
     counts = [count(k).alias(f"n_{name}") for k, name in enumerate(pii.KINDS)]
     digest = F.sha2(written(base).cast("binary"), 256)
     return rows.select("doc_id", *counts, digest.alias("base_sha256"), written("spans").alias("spans"))
+
+
+@query
+def op3_quality(spark, folder):
+    docs, labels = table(spark, folder, "documents"), table(spark, folder, "labels")
+    marks = labels.select("doc_id", F.col("quality").alias("label"))
+    weights = quality.fit(docs, marks, fold(F.col("doc_id"), 3) != 1)
+    return quality.score(docs, weights).select(
+        "doc_id",
+        F.coalesce(fold(F.col("doc_id"), 3) == 1, F.lit(True)).alias("held_out"),
+        "score",
+        (F.col("score") >= 0.5).cast("int").alias("predicted"),
+    )
