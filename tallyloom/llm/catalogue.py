@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tallyloom import store
-from tallyloom.llm import bpe, exact_dedup, packing, pii, quality, records, simhash, topk, url_filter
+from tallyloom.llm import bpe, exact_dedup, language_mix, packing, pii, quality, records, simhash, topk, url_filter
 from tallyloom.llm.common import fold, ship, table
 
 BYTES = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
@@ -183,3 +183,16 @@ def op3_quality(spark, folder):
         "score",
         (F.col("score") >= 0.5).cast("int").alias("predicted"),
     )
+
+
+@query
+def op4_language(spark, folder):
+    docs = table(spark, folder, "documents")
+    languages = language_mix.fit(docs, fold(F.col("doc_id"), 4) != 2)
+    return language_mix.detect(docs, languages).select(
+        "doc_id",
+        F.coalesce(fold(F.col("doc_id"), 4) == 2, F.lit(True)).alias("held_out"),
+        "lang_pred",
+        "score",
+        "shares",
+    )

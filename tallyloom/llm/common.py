@@ -37,13 +37,29 @@ def ship(spark: SparkSession) -> None:
         spark.conf.set(ARROW_ROWS, "1000")
 
 
-def take(df: DataFrame, *names: str) -> DataFrame:
-    """The named columns only, also where another column has the same name in other case."""
-    columns = df.columns
+def _place(columns: list[str], name: str) -> int:
     folded = [c.lower() for c in columns]
-    places = [columns.index(n) if n in columns else folded.index(n.lower()) for n in names]
-    plain = df.toDF(*(f"c{i}" for i in range(len(columns))))
-    return plain.select(*(F.col(f"c{i}").alias(n) for i, n in zip(places, names)))
+    return columns.index(name) if name in columns else folded.index(name.lower())
+
+
+def plain(df: DataFrame, *names: str) -> tuple[DataFrame, list[str]]:
+    """``df`` with columns c0, c1, … and what the named ones are called there.
+
+    So a column is found also where another has the same name in other case.
+    """
+    renamed = df.toDF(*(f"c{i}" for i in range(len(df.columns))))
+    return renamed, [f"c{_place(df.columns, n)}" for n in names]
+
+
+def named(rows: DataFrame, df: DataFrame) -> DataFrame:
+    """The columns c0, c1, … of ``rows`` under the names of ``df``."""
+    return rows.select(*(F.col(f"c{i}").alias(c) for i, c in enumerate(df.columns)))
+
+
+def take(df: DataFrame, *names: str) -> DataFrame:
+    """The named columns only."""
+    renamed, places = plain(df, *names)
+    return renamed.select(*(F.col(c).alias(n) for c, n in zip(places, names)))
 
 
 def ascii_lower(text: Column) -> Column:

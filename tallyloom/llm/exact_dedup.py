@@ -25,7 +25,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from tallyloom import store
 from tallyloom.llm import common
@@ -90,3 +90,18 @@ def dedup(
         "group_size",
         F.col("doc_id").eqNullSafe(F.col("keep_id")).alias("kept"),
     )
+
+
+def keep(
+    docs: DataFrame,
+    normalise: Callable[[Column], Column] = normalise,
+    digest: Callable[[Column], Column] = sha256,
+) -> DataFrame:
+    """The rows of ``docs``, all columns, that stay: one of each group, also of repeated rows."""
+    found = store.materialise(groups(docs, normalise, digest).select("digest", "keep_id"), "exact-kept")
+    rows, (doc_id, text) = common.plain(docs, "doc_id", "text")
+    rows = rows.withColumn("digest", digest(normalise(F.col(text))))
+    same = (rows["digest"] == found["digest"]) & rows[doc_id].eqNullSafe(found["keep_id"])
+    repeats = Window.partitionBy(doc_id, "digest").orderBy(F.lit(0))
+    kept = rows.join(found, same, "left_semi").withColumn("copy", F.row_number().over(repeats))
+    return common.named(kept.where("copy = 1"), docs)

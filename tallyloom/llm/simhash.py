@@ -32,7 +32,8 @@ from itertools import combinations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 
 from tallyloom import store
 from tallyloom.llm import common
@@ -267,18 +268,46 @@ def _linked(rows: pa.Table, radius: int, keys: int) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(a.view(np.int64)), pa.array(b.view(np.int64))], ["u", "v"])
 
 
+def _grouped(found: DataFrame, radius: int) -> DataFrame:
+    """fp, root (the fingerprint that names the group) and component_id for the (doc_id, fp) given."""
+    nodes = store.materialise(found.groupBy("fp").agg(F.min("doc_id").alias("first")), "nodes")
+    rooted = components(links(nodes, radius)).select(F.col("node").alias("fp"), "root")
+    member = nodes.join(rooted, "fp", "left").withColumn("root", F.coalesce("root", "fp"))
+    member = store.materialise(member, "members")
+    named = store.materialise(member.groupBy("root").agg(F.min("first").alias("component_id")), "components")
+    return store.materialise(member.join(named, "root").select("fp", "root", "component_id"), "groups")
+
+
 def near_duplicates(docs: DataFrame, words: int = WORDS, radius: int = RADIUS) -> DataFrame:
     """One row per row of ``docs``: doc_id, fp, component_id (smallest id of its group)."""
     found = store.materialise(fingerprints(docs, words), "fingerprints")
-    nodes = store.materialise(found.groupBy("fp").agg(F.min("doc_id").alias("first")), "nodes")
-    rooted = components(links(nodes, radius)).select(F.col("node").alias("fp"), "root")
-    member = store.materialise(
-        nodes.join(rooted, "fp", "left").withColumn("root", F.coalesce("root", "fp")), "members"
-    )
-    named = member.groupBy("root").agg(F.min("first").alias("component_id"))
-    named = store.materialise(named, "components")
-    of_fp = store.materialise(member.join(named, "root").select("fp", "component_id"), "groups")
-    return found.join(of_fp, "fp").select("doc_id", "fp", "component_id")
+    return found.join(_grouped(found, radius), "fp").select("doc_id", "fp", "component_id")
+
+
+def keep(docs: DataFrame, words: int = WORDS, radius: int = RADIUS) -> DataFrame:
+    """The rows of ``docs``, all columns, that stay: the smallest id of each group.
+
+    Where ids are NULL or repeated the smallest fingerprint decides, and then any one row.
+    """
+    rows, (doc_id, text) = common.plain(docs, "doc_id", "text")
+    at = rows.columns.index(text)
+
+    def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            fps = np.array([fingerprint(t.as_py(), words) for t in batch.column(at)], np.uint64)
+            columns = [*batch.columns, pa.array(fps.view(np.int64))]
+            yield pa.RecordBatch.from_arrays(columns, [*batch.schema.names, "fp"])
+
+    schema = StructType([*rows.schema.fields, StructField("fp", LongType())])
+    rows = store.materialise(rows.mapInArrow(hashed, schema), "fingerprinted")
+    found = rows.select(F.col(doc_id).alias("doc_id"), "fp")
+    best = F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "fp")).alias("best")
+    stays = found.join(_grouped(found, radius), "fp").groupBy("root").agg(best)
+    stays = store.materialise(stays.select("best.doc_id", F.col("best.fp").alias("fp_kept")), "near-kept")
+    same = (rows["fp"] == stays["fp_kept"]) & rows[doc_id].eqNullSafe(stays["doc_id"])
+    repeats = Window.partitionBy(doc_id, "fp").orderBy(F.lit(0))
+    kept = rows.join(stays, same, "left_semi").withColumn("copy", F.row_number().over(repeats))
+    return common.named(kept.where("copy = 1"), docs)
 
 
 def hexadecimal(fp: Column) -> Column:
