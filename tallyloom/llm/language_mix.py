@@ -161,7 +161,8 @@ def detect(docs: DataFrame, languages: Languages) -> DataFrame:
 
 def keep(docs: DataFrame, languages: Languages, least: float = 0.3) -> DataFrame:
     """The rows of ``docs``, all columns, of which one learned language makes up ``least``."""
-    at = docs.columns.index("text")
+    plain, (text,) = common.plain(docs, "text")
+    at = plain.columns.index(text)
 
     def kept(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -169,4 +170,4 @@ def keep(docs: DataFrame, languages: Languages, least: float = 0.3) -> DataFrame
             flags = [lang != UNKNOWN and score >= least for lang, score, _ in rows]
             yield batch.filter(pa.array(flags, pa.bool_()))
 
-    return docs.mapInArrow(kept, docs.schema)
+    return common.named(plain.mapInArrow(kept, plain.schema), docs)

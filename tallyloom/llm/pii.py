@@ -299,7 +299,9 @@ def redact(docs: DataFrame) -> DataFrame:
     All rows and all other columns stay; a NULL text stays NULL.
     """
     sure = fit(store.materialise(find(docs), "candidates"))
-    names, at = docs.columns, docs.columns.index("text")
+    plain, (text,) = common.plain(docs, "text")
+    at = plain.columns.index(text)
+    counted = docs.columns.index("n_chars") if "n_chars" in docs.columns else None
 
     def rewrite(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -309,10 +311,10 @@ def redact(docs: DataFrame) -> DataFrame:
             ]
             columns = [*batch.columns]
             columns[at] = pa.array(texts, batch.column(at).type)
-            if "n_chars" in names:
-                i = names.index("n_chars")
-                sizes = [n if t is None else len(t) for t, n in zip(texts, batch.column(i).to_pylist())]
-                columns[i] = pa.array(sizes, batch.column(i).type)
+            if counted is not None:
+                sizes = batch.column(counted).to_pylist()
+                sizes = [n if t is None else len(t) for t, n in zip(texts, sizes)]
+                columns[counted] = pa.array(sizes, batch.column(counted).type)
             yield pa.RecordBatch.from_arrays(columns, batch.schema.names)
 
-    return docs.mapInArrow(rewrite, docs.schema)
+    return common.named(plain.mapInArrow(rewrite, plain.schema), docs)

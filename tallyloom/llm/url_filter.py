@@ -16,7 +16,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 from pyspark.ml.classification import LogisticRegression
-from pyspark.ml.feature import HashingTF
+from pyspark.ml.feature import HashingTF, NGram
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -74,20 +74,18 @@ def matched(rules: list[Rule], value: str) -> Column:
     return F.coalesce(*(F.when(_fits(r), F.lit(getattr(r, value))) for r in ordered))
 
 
-def grams() -> Column:
-    """All n-grams of host and path, each marked with the part it is from."""
-
-    def of(part: str, mark: str, n: int) -> Column:
-        text = F.concat(F.lit("^"), F.lower(F.col(part)), F.lit("$"))
-        at = F.sequence(F.lit(1), F.greatest(F.char_length(text) - n + 1, F.lit(1)))
-        return F.transform(at, lambda i: F.concat(F.lit(mark), F.substring(text, i, F.lit(n))))
-
-    return F.concat(*(of(part, part[0] + ":", n) for part in ("host", "path") for n in GRAMS))
-
-
 def _hashed(rows: DataFrame) -> DataFrame:
-    hashing = HashingTF(inputCol="grams", outputCol="features", numFeatures=WIDTH, binary=True)
-    return hashing.transform(rows.withColumn("grams", grams())).drop("grams")
+    """Adds ``features``: all n-grams of host and path, each marked with the part it is from."""
+    columns, grams = rows.columns, []
+    for part in ("host", "path"):
+        signs = F.split(F.concat(F.lit("^"), F.lower(F.col(part)), F.lit("$")), "")
+        rows = rows.withColumn(f"_{part}", signs)
+        for n in GRAMS:
+            rows = NGram(n=n, inputCol=f"_{part}", outputCol=f"_{part}_{n}").transform(rows)
+            grams.append(F.transform(f"_{part}_{n}", lambda g: F.concat(F.lit(part), g)))
+    rows = rows.select(*columns, F.concat(*grams).alias("_grams"))
+    hashing = HashingTF(inputCol="_grams", outputCol="features", numFeatures=WIDTH, binary=True)
+    return hashing.transform(rows).drop("_grams")
 
 
 def fit(labelled: DataFrame, limit: int = MAX_LABELLED):
