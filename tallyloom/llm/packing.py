@@ -199,6 +199,8 @@ def _configuration(left, lengths, weight, best, capacity) -> tuple[dict[int, int
 
 def plan(demand: np.ndarray, capacity: int) -> Plan:
     """Configurations and how often each is used; their sum covers ``demand`` exactly."""
+    if not demand.any():
+        return []
     weight, _ = weights(demand, capacity)
     return round_plan(demand, weight, capacity)
 
