@@ -81,10 +81,11 @@ class Languages:
 def fit(docs: DataFrame, usable: Column, limit: int = PER_LANGUAGE) -> Languages:
     """Languages of the rows of ``docs`` (doc_id, text, lang) with ``usable`` ids."""
     known = common.take(docs, "doc_id", "text", "lang").where(usable & F.col("lang").isNotNull())
-    # A share of each language that holds about twice the limit, then exactly the limit.
+    # A share of each language that holds about twice the limit, then exactly the limit. The
+    # sizes, one row a language, are sent out, as no row may travel by language before that.
     sizes = known.groupBy("lang").agg(F.count(F.lit(1)).alias("size"))
     key = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 31))
-    ids = known.select("lang", "doc_id", key.alias("key")).join(sizes, "lang")
+    ids = known.select("lang", "doc_id", key.alias("key")).join(F.broadcast(sizes), "lang")
     ids = ids.where(F.col("key") < F.lit(float(1 << 31)) * 2 * limit / F.col("size"))
     first = Window.partitionBy("lang").orderBy("key", "doc_id")
     ids = ids.withColumn("place", F.row_number().over(first)).where(F.col("place") <= limit)
