@@ -1,0 +1,113 @@
+import hashlib
+import random
+import re
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from __spark_entry__ import queries
+from tallyloom.llm import pii
+
+from .conftest import ROWS
+
+
+def luhn(digits):
+    total = 0
+    for i, c in enumerate(reversed(digits)):
+        x = int(c) * (1 + i % 2)
+        total += x - 9 * (x > 9)
+    return total % 10 == 0
+
+
+def digits(text):
+    return re.sub("[^0-9]", "", text)
+
+
+def brute(text):
+    out = []
+    for m in re.finditer(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", text):
+        out.append((0, *m.span()))
+    for m in re.finditer(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)", text):
+        if all(int(p) <= 255 for p in m[0].split(".")):
+            out.append((1, *m.span()))
+    for m in re.finditer(r"[0-9]([\x20-]?[0-9])+", text):
+        if 16 <= len(digits(m[0])) <= 19 and luhn(digits(m[0])):
+            out.append((2, *m.span()))
+    for m in re.finditer(r"\+[0-9][\x20().0-9-]+[0-9]", text):
+        if 8 <= len(digits(m[0])) <= 15:
+            out.append((3, *m.span()))
+    return sorted(out)
+
+
+def test_base_spans():
+    rng = random.Random(3)
+    bits = [*"aZ09.%@+- ()é٣", "a@b.c", "1.2.3.4", "4111 1111-1111 1111", "+1 (555) 123-4567", "..", "255", "x@y"]
+    for _ in range(20_000):
+        text = "".join(rng.choices(bits, k=rng.randint(0, 14)))
+        assert pii.base_spans(text) == brute(text), text
+
+
+@pytest.mark.parametrize("text", ["1" * 200_000, "a" * 200_000, "a@" * 50_000, "+1 " + "(" * 100_000, "1." * 100_000])
+def test_long_runs_take_linear_time(text):
+    assert [s for s in pii.base_spans(text) if s[0] in (0, 2)] == []
+
+
+def test_codes():
+    for kind in range(4):
+        for ballot in ((-1, 0, 1, 1, -1), (1, 1, 1, 1, 1), (-1,) * 5):
+            code = pii.encode(kind, ballot, True)
+            assert code < pii.CODES
+            assert pii.decode(code) == (kind, [v + 1 for v in ballot], True)
+
+
+def test_weak_labels_are_weighed():
+    good = pii.encode(pii.PHONE, (0, 1, 0, 1, 1), True)
+    sure = pii.encode(pii.PHONE, (1, 1, 1, 1, 1), True)
+    bad = pii.encode(pii.CARD, (0, -1, -1, 0, 1), False)
+    counts = np.zeros(pii.CODES, int)
+    counts[[good, sure, bad]] = [300, 400, 500]
+    found = pii.classifier(counts)
+    assert found[sure] > 0.9 and found[good] > 0.9 and found[bad] < 0.1
+    assert pii.classifier(np.zeros(pii.CODES, int)).max() == 0
+
+
+def test_added_spans_do_not_touch_base_spans():
+    base, loose, other = (pii.Span(0, 5, 9, True, 1), pii.Span(3, 8, 12, False, 2), pii.Span(3, 9, 12, False, 2))
+    sure = np.full(pii.CODES, 0.95)
+    assert pii.choose([loose, base], sure) == [base]
+    assert pii.choose([other, base], sure) == [base, other]
+    assert pii.choose([other, base], sure * 0.9) == [base]
+
+
+def test_query_keeps_all_base_spans(spark, medium):
+    rows = {r["doc_id"]: r for r in queries()["op8_pii"](spark, medium).collect()}
+    docs = spark.read.parquet(f"{medium}/documents.parquet").collect()
+    assert len(rows) == len(docs)
+    for d in docs:
+        row, want = rows[d["doc_id"]], brute(d["text"])
+        text = ",".join(f"{pii.KINDS[k]}:{a}:{b}" for k, a, b in want)
+        assert row["base_sha256"] == hashlib.sha256(text.encode()).hexdigest()
+        assert [row[f"n_{k}"] for k in pii.KINDS] == [sum(s[0] == i for s in want) for i in range(4)]
+        assert set(filter(None, text.split(","))) <= set(row["spans"].split(","))
+
+
+def test_odd_rows(odd, nothing):
+    rows = pii.detect(odd).collect()
+    assert len(rows) == len(ROWS)
+    spans = {r["doc_id"]: [(s["kind"], s["start"], s["end"]) for s in r["spans"]] for r in rows}
+    assert [k for k, _, _ in spans[11]] == [0, 1, 2, 3]
+    assert all(not found for doc_id, found in spans.items() if doc_id != 11)
+    masked = pii.redact(odd)
+    assert masked.columns == odd.columns
+    texts = {r[0]: (r[1], r[4]) for r in masked.collect()}
+    assert texts[11][0] == "Mail [EMAIL] or [PHONE], card [CARD], ip [IP]"
+    assert texts[11][1] == len(texts[11][0]) and texts[3] == (None, None) and texts[1] == (ROWS[0][1], len(ROWS[0][1]))
+    assert pii.detect(nothing).count() == pii.redact(nothing).count() == 0
+
+
+def test_written_out_address_is_added():
+    text = "write to jane.doe (at) example (dot) org today"
+    assert [(s.kind, text[s.start : s.end], s.base) for s in pii.candidates(text)] == [
+        (0, "jane.doe (at) example (dot) org", False)
+    ]
