@@ -39,7 +39,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 from tallyloom.llm import common
 from tallyloom.llm.tokens import word_tokens
 
-SHARD_BYTES = 32_000_000
+SHARD_BYTES = 16_000_000
 BLOCK_IDS = 1_000_000
 HEAD = struct.Struct("<QI")
 BODY = struct.Struct("<BBq")
