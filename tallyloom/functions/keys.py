@@ -6,7 +6,9 @@ different rows. These forms depend on the key alone: same rows on any cluster, n
 
 from __future__ import annotations
 
-from pyspark.sql import Column, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
+
+from tallyloom import store
 
 TWO_POW_32 = 4294967296.0
 
@@ -23,7 +25,8 @@ def key_unit(key: Column) -> Column:
 
 
 def rating_key(user: Column, item: Column) -> Column:
-    return user * F.lit(1000003) + item
+    """Text, as no number formed from two BIGINT ids is safe from overflow."""
+    return F.concat_ws(":", user.cast("string"), item.cast("string"))
 
 
 def fold_number(key: Column, folds: int) -> Column:
@@ -33,3 +36,20 @@ def fold_number(key: Column, folds: int) -> Column:
     leave some folds empty whenever the two moduli share a factor.
     """
     return F.pmod(F.floor(key_bits(key) / F.lit(100)), F.lit(folds)).cast("int")
+
+
+def dense_ids(df: DataFrame, column: str, number: str) -> DataFrame:
+    """``(column, number)``: the distinct values in order, numbered from 0, as a written table.
+
+    The values are sorted by ranges; each range is numbered in its own task and starts from the
+    counts of the ranges before it. An id beyond INT is an error, not a wrong number.
+    """
+    ids = df.select(column).dropna().distinct().repartitionByRange(column)
+    placed = store.materialise(ids.withColumn("_part", F.spark_partition_id()), "ids")
+    before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    starts = placed.groupBy("_part").count()
+    starts = starts.select("_part", F.coalesce(F.sum("count").over(before), F.lit(0)).alias("_start"))
+    inside = Window.partitionBy("_part").orderBy(column)
+    place = F.col("_start") + F.row_number().over(inside) - 1
+    numbered = placed.join(starts, "_part").withColumn(number, place.cast("int"))
+    return store.materialise(numbered.select(column, number), "dense-ids")

@@ -45,23 +45,15 @@ def learner(name: str, width: int):
     return RandomForestClassifier(seed=0)
 
 
-def prepare(postings: DataFrame, fractions: dict | None = None) -> DataFrame:
-    """Valid classes, enough values per column, balanced by key hash, cleaned and tokenised.
-
-    ``fractions`` per class are computed from the class counts when not given.
-    Actions: the NULL counts and, without ``fractions``, the class counts.
-    """
+def prepare(postings: DataFrame) -> DataFrame:
+    """Valid classes, enough values per column, cleaned and tokenised. Action: the NULL counts."""
     label = F.col("fraudulent").try_cast("int")
     valid = profile.valid_classes(postings.withColumn("fraudulent", label), "fraudulent")
     kept = profile.drop_sparse_columns(valid)
     needed = [c for c in ["job_id", *WORDS, *FLAGS, "fraudulent"] if c in kept.columns]
-    kept = kept.select(*needed)
-    if fractions is None:
-        fractions = sampling.balancing_fractions(kept, "fraudulent")
-    sample = sampling.stratified_hash_sample(kept, "fraudulent", fractions, F.col("job_id"))
     flags = [c for c in FLAGS if c in needed]
     words = [c for c in WORDS if c in needed]
-    return missing.clean_flags(sample, flags).select(
+    return missing.clean_flags(kept.select(*needed), flags).select(
         "job_id",
         F.col("fraudulent").cast("double").alias("label"),
         *[F.col(c).cast("double").alias(c) for c in flags],
@@ -75,6 +67,16 @@ def split(prepared: DataFrame) -> tuple[DataFrame, DataFrame]:
     return train, test
 
 
+def balanced(train: DataFrame, fractions: dict | None = None) -> DataFrame:
+    """Train rows sampled by class; every test row is scored, so those are never sampled.
+
+    ``fractions`` per class come from the class counts when not given, which is an action.
+    """
+    if fractions is None:
+        fractions = sampling.balancing_fractions(train, "label")
+    return sampling.stratified_hash_sample(train, "label", fractions, F.col("job_id"))
+
+
 def split_key() -> Column:
     return F.concat(F.lit("split:"), F.col("job_id").cast("string"))
 
@@ -96,11 +98,14 @@ class Prepared:
     width: int
 
 
-def build_features(prepared: DataFrame, hash_width: int | None) -> Prepared:
-    """Fit the feature stages on the train side only. ``hash_width=None`` uses the
+def build_features(
+    prepared: DataFrame, hash_width: int | None, fractions: dict | None = None
+) -> Prepared:
+    """Balance the train side and fit the feature stages on it alone. ``hash_width=None`` uses the
     vocabulary sizes. Actions: the fits, and both feature tables are written."""
     words = [c for c in WORDS if c in prepared.columns]
     train, test = split(prepared)
+    train = balanced(train, fractions)
     widths = {
         w: hash_width if hash_width is not None else features.vocabulary_width(train, w)
         for w in words
@@ -123,7 +128,7 @@ class Trained:
 
 
 def search(
-    name: str, data: Prepared, folds: int = FOLDS, always: bool = False, **grid
+    name: str, data: Prepared, folds: int = FOLDS, **grid
 ) -> tuning.Tuned:
     """Choose and fit one learner; keyword lists replace its usual grid."""
     estimator = learner(name, data.width)
@@ -134,7 +139,6 @@ def search(
         data.train,
         F.concat(F.lit("fold:"), F.col("job_id").cast("string")),
         folds,
-        always,
     )
 
 

@@ -10,9 +10,6 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from tallyloom.operators import terms
 
-# Fixed value: the largest vocabulary CountVectorizer keeps by default.
-MAX_WIDTH = 262144
-
 
 def hashed_tfidf(words: str, output: str, width: int) -> list:
     """Hashed term frequencies, then inverse document frequencies."""
@@ -22,8 +19,9 @@ def hashed_tfidf(words: str, output: str, width: int) -> list:
     ]
 
 
-def counted_tfidf(words: str, output: str, width: int = MAX_WIDTH) -> list:
-    """The same with exact terms instead of hashes."""
+def counted_tfidf(words: str, output: str, width: int) -> list:
+    """The same with exact terms instead of hashes: all of them, if ``width`` is their number
+    (``vocabulary_width``), or the most frequent ones."""
     return [
         CountVectorizer(inputCol=words, outputCol=f"{output}_tf", vocabSize=width),
         IDF(inputCol=f"{output}_tf", outputCol=output),
@@ -36,8 +34,8 @@ def imputer(columns: Sequence[str]) -> Imputer:
 
 
 def assembler(columns: Sequence[str], output: str = "features") -> VectorAssembler:
-    """Rows with a missing input are left out, not failed on."""
-    return VectorAssembler(inputCols=list(columns), outputCol=output, handleInvalid="skip")
+    """A missing input is an error: flags are imputed first, so no row is left out."""
+    return VectorAssembler(inputCols=list(columns), outputCol=output, handleInvalid="error")
 
 
 def bare(column: str = "features") -> Column:
@@ -49,14 +47,14 @@ def bare(column: str = "features") -> Column:
     return F.col(column).alias(column, metadata={})
 
 
-def vocabulary_width(df: DataFrame, words: str, limit: int = MAX_WIDTH) -> int:
-    """Distinct terms in a word column, at most ``limit``. Action: one count."""
+def vocabulary_width(df: DataFrame, words: str) -> int:
+    """Distinct terms in a word column, at least 1. Action: one count."""
     rows = df.select(F.explode(words).alias("term"))
-    return max(1, min(terms.vocabulary_size(rows).first()[0], limit))
+    return max(1, terms.vocabulary_size(rows).first()[0])
 
 
 def vocabulary_table(spark: SparkSession, vocabulary: Sequence[str]) -> DataFrame:
-    """``(term_id, term)`` from a fitted vocabulary, whose length ``vocabSize`` bounds."""
+    """``(term_id, term)`` from a fitted vocabulary, which the model itself keeps on the driver."""
     ids = pa.array(range(len(vocabulary)), pa.int32())
     return spark.createDataFrame(
         pa.table({"term_id": ids, "term": pa.array(vocabulary, pa.string())})

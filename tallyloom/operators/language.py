@@ -32,8 +32,9 @@ class LanguageProfile:
 
 
 def fit_profile(df: DataFrame, words_from: str, label: str) -> LanguageProfile:
-    """Action: writes the word table and reads one total per language."""
-    rows = df.select(label, F.explode(text.western_words(F.col(words_from))).alias("term"))
+    """Learn from the rows that have a label. Action: writes the word table and reads one
+    total per language."""
+    rows = df.where(F.col(label).isNotNull()).select(label, F.explode(text.western_words(F.col(words_from))).alias("term"))
     counted = store.materialise(
         rows.filter(F.col("term") != "").groupBy(label, "term").agg(F.count(F.lit(1)).alias("c")),
         "language-words",

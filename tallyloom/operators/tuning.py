@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 
 from tallyloom.functions import keys
 
+# How many fits run at a time unless told otherwise.
 PARALLEL_FITS = 4
 
 
@@ -47,22 +48,18 @@ def cross_validate(
     train: DataFrame,
     key: Column,
     folds: int,
-    always: bool = False,
+    parallel: int = PARALLEL_FITS,
 ) -> Tuned:
     """Fit every grid point on every fold, then the best point on all of ``train``.
 
-    With one grid point there is nothing to choose, and the result is the fit on all rows
-    alone: one fit instead of ``folds + 1``. ``always`` runs the folds even so, for their
-    metric. Pass a ``train`` that is a written or persisted table: each fold reads it twice.
+    Pass a ``train`` that is a written or persisted table: each fold reads it twice.
     """
-    if len(points) == 1 and not always:
-        return Tuned(estimator.fit(train, points[0]), points, [])
     fitted = CrossValidator(
         estimator=estimator,
         estimatorParamMaps=points,
         evaluator=evaluator,
         numFolds=folds,
         foldCol="fold",
-        parallelism=PARALLEL_FITS,
+        parallelism=parallel,
     ).fit(train.withColumn("fold", keys.fold_number(key, folds)))
     return Tuned(fitted.bestModel, points, list(fitted.avgMetrics))

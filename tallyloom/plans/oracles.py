@@ -63,7 +63,7 @@ SPLIT = (
     RATINGS
     + f""",
 parted AS (
-  SELECT *, {_bits("user_id * 1000003 + item_id")} % 100 < 80 AS is_train FROM ratings),
+  SELECT *, {_bits("user_id || ':' || item_id")} % 100 < 80 AS is_train FROM ratings),
 train AS (SELECT user_id, item_id, rating FROM parted WHERE is_train),
 test AS (SELECT user_id, item_id, rating FROM parted WHERE NOT is_train),
 im AS (SELECT item_id, avg(rating) AS m FROM train GROUP BY 1),
@@ -80,6 +80,15 @@ base AS (
   FROM test t CROSS JOIN g LEFT JOIN im USING (item_id) LEFT JOIN um USING (user_id))"""
 )
 
+# The same over ids beyond INT and ratings less half a star.
+LARGE_BASELINE = BASELINE.replace(
+    "parted AS (",
+    """large AS (SELECT user_id + 3000000000 AS user_id, item_id + 3000000000 AS item_id,
+  CAST(rating AS DOUBLE) - 0.5 AS rating FROM ratings),
+parted AS (""",
+).replace("AS is_train FROM ratings", "AS is_train FROM large")
+
+
 
 def _similarity(source: str, means: str) -> str:
     return f"""centred AS (
@@ -201,6 +210,11 @@ found AS (
   SELECT d.doc_id, coalesce(b.lang, 'none') AS lang, coalesce(b.score, 0.0) AS score
   FROM documents d LEFT JOIN best b USING (doc_id))"""
 
+# Two texts of three have a label.
+SOME_LABELS = LANGUAGE.replace(
+    "FROM words GROUP BY 1, 2),\nn AS", "FROM words WHERE doc_id % 3 > 0 GROUP BY 1, 2),\nn AS"
+)
+
 SENTIMENT = (
     LEXICON
     + """,
@@ -244,9 +258,13 @@ ORACLES: dict[str, str] = {
     "csv_postings": f"WITH {POSTINGS} SELECT CAST(job_id AS VARCHAR) AS job_id, * EXCLUDE (job_id)"
     " REPLACE (TRY_CAST(fraudulent AS INTEGER) AS fraudulent) FROM postings",
     "csv_tweets": "SELECT doc_id, text AS tweet, lang FROM documents WHERE text IS NOT NULL",
-    "csv_ratings": f"WITH {RATINGS} SELECT CAST(user_id AS INTEGER) AS user_id,"
-    " CAST(item_id AS INTEGER) AS item_id, CAST(rating AS DOUBLE) - 0.5 AS rating FROM ratings",
-    "csv_item_names": f"WITH {RATINGS}, {ITEMS} SELECT CAST(item_id AS INTEGER) AS item_id, title,"
+    "csv_ratings": f"WITH {RATINGS} SELECT user_id, item_id,"
+    " CAST(rating AS DOUBLE) - 0.5 AS rating FROM ratings",
+    "large_id_baseline": f"WITH {LARGE_BASELINE} SELECT user_id, item_id, rating,"
+    " round(b, 6) AS prediction FROM base",
+    "native_random_split": "SELECT doc_id AS job_id, CAST(1 AS BIGINT) AS copies,"
+    " TRUE AS shares_hold FROM documents",
+    "csv_item_names": f"WITH {RATINGS}, {ITEMS} SELECT item_id, title,"
     " count(*) AS n_ratings FROM ratings JOIN items USING (item_id) GROUP BY 1, 2",
     "handed_over_predictions": f"WITH {BASELINE} SELECT user_id, item_id,"
     " CAST(rating AS DOUBLE) AS rating, round(b, 6) AS prediction FROM base",
@@ -264,7 +282,6 @@ ORACLES: dict[str, str] = {
     " END AS part FROM documents",
     "stratified_hash_sample": f"WITH {VALID} SELECT job_id, fraudulent FROM valid WHERE"
     f" {_bits('job_id')} / 4294967296.0 < CASE fraudulent WHEN 0 THEN 0.055 ELSE 1.0 END",
-    "native_random_split": "SELECT doc_id AS job_id, CAST(1 AS BIGINT) AS copies FROM documents",
     "clean_text": f"WITH {POSTINGS} SELECT job_id, {_prose('title')} AS title,"
     f" regexp_replace({_prose('title')}, '{WS}+', '', 'g') AS title_squashed,"
     f" {_prose('description')} AS description FROM postings",
@@ -286,6 +303,7 @@ ORACLES: dict[str, str] = {
     "tfidf_long": f"WITH {TF} SELECT doc_id, term, tf, df, tfidf FROM tfidf",
     "count_vectors": f"WITH {TF} SELECT doc_id, term, tfidf FROM tfidf",
     "language_id": f"WITH {LANGUAGE} SELECT doc_id, lang, score FROM found",
+    "unlabelled_language_id": f"WITH {SOME_LABELS} SELECT doc_id, lang, score FROM found",
     "english_filter": f"WITH {LANGUAGE} SELECT d.doc_id, d.text AS tweet, f.lang FROM documents d"
     " JOIN found f USING (doc_id) WHERE f.lang = 'en'",
     "sentiment_score": f"WITH {SENTIMENT} SELECT * FROM scored",
@@ -354,5 +372,18 @@ stats AS (
     CAST(count(*) FILTER (WHERE label = 0) AS DOUBLE) AS n
   FROM ranked)
 SELECT 'area_under_roc' AS metric, round((rank_sum - p * (p + 1) / 2) / (p * n), 6) AS value
+FROM stats""",
+    "auc_missing_scores": f"""WITH {VALID},
+ranked AS (
+  SELECT fraudulent AS label,
+    rank() OVER (ORDER BY length(description))
+      + (count(*) OVER (PARTITION BY length(description)) - 1) / 2.0 AS r
+  FROM valid WHERE job_id % 5 > 0),
+stats AS (
+  SELECT CAST(sum(r) FILTER (WHERE label = 1) AS DOUBLE) AS rank_sum,
+    CAST(count(*) FILTER (WHERE label = 1) AS DOUBLE) AS p,
+    CAST(count(*) FILTER (WHERE label = 0) AS DOUBLE) AS n
+  FROM ranked)
+SELECT 'area_under_roc' AS metric, round((rank_sum - p * (p + 1) / 2) / (p * n), 6) AS value
 FROM stats""",
 }

@@ -30,12 +30,20 @@ from tallyloom.operators import (
 from tallyloom.plans import inputs, postings, ratings, tweets
 from tallyloom.sources import readers, writers
 
+LARGE = 3_000_000_000
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
-# Smaller searches than the full grids, so that one query is a few fits and not ninety.
-ALS_GRID = {"maxIter": [10], "rank": [10], "regParam": [0.01, 0.1]}
-REGRESSION_GRID = {"maxIter": [10], "regParam": [0.1, 0.001]}
-FOLDS = 2
+# Results of the long searches, by application, folder and name: queries that need the same
+# search share it.
+_SEARCHED: dict = {}
+
+
+def _once(spark, folder, name, make):
+    key = (spark.sparkContext.applicationId, folder, name)
+    if key not in _SEARCHED:
+        _SEARCHED[key] = make()
+    return _SEARCHED[key]
 
 
 def query(fn):
@@ -43,27 +51,20 @@ def query(fn):
     return fn
 
 
-def _path(spark: SparkSession, name: str) -> str:
-    path = store.new_path(spark, name)
-    if path is None:
-        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-    return path
-
-
 # --- sources and sinks ---------------------------------------------------------------
 
 
 @query
 def csv_postings(spark, folder):
     """Postings written as CSV with quoted newlines, read back, label cast."""
-    path = _path(spark, "postings-csv")
+    path = store.new_path(spark, "postings-csv")
     writers.write_csv(inputs.postings(spark, folder), path)
     return readers.read_postings(spark, path)
 
 
 @query
 def csv_tweets(spark, folder):
-    path = _path(spark, "tweets-csv")
+    path = store.new_path(spark, "tweets-csv")
     writers.write_csv(inputs.tweets(spark, folder), path)
     back = readers.read_tweets(spark, path, ["doc_id", "tweet", "lang"])
     return back.withColumn("doc_id", F.col("doc_id").try_cast("bigint"))
@@ -72,19 +73,34 @@ def csv_tweets(spark, folder):
 @query
 def csv_ratings(spark, folder):
     """Tab-separated ratings with a timestamp column that is dropped."""
-    path = _path(spark, "ratings-csv")
-    rows = inputs.ratings(spark, folder).select(
-        "user_id", "item_id", (F.col("rating") - 0.5).alias("rating"), F.lit("0").alias("ts")
-    )
-    writers.write_csv(rows, path, sep="\t")
+    path = store.new_path(spark, "ratings-csv")
+    writers.write_csv(_half_stars(spark, folder), path, sep="\t")
     return readers.read_ratings(spark, path, sep="\t")
 
 
+def _half_stars(spark, folder, shift=0):
+    return inputs.ratings(spark, folder).select(
+        (F.col("user_id") + shift).alias("userId"),
+        (F.col("item_id") + shift).alias("movieId"),
+        (F.col("rating") - 0.5).alias("rating"),
+        F.lit("0").alias("timestamp"),
+    )
+
+
+@query
+def large_id_baseline(spark, folder):
+    """Ratings with ids beyond INT: written, read, split and predicted."""
+    path = store.new_path(spark, "large-ids-csv")
+    writers.write_csv(_half_stars(spark, folder, LARGE), path)
+    return ratings.baseline_predictions(ratings.split_ratings(readers.read_ratings(spark, path)))
+
+
 @query
 def csv_item_names(spark, folder):
     """Rating counts per item with the title from a pipe-separated Latin-1 file."""
-    path = _path(spark, "items-csv")
-    writers.write_csv(inputs.items(spark, folder), path, sep="|", encoding="ISO-8859-1")
+    path = store.new_path(spark, "items-csv")
+    rows = inputs.items(spark, folder).withColumnRenamed("item_id", "movieId")
+    writers.write_csv(rows, path, sep="|", encoding="ISO-8859-1")
     names = readers.read_items(spark, path, sep="|", encoding="ISO-8859-1")
     totals = similarity.rating_totals(inputs.ratings(spark, folder))
     return names.join(totals, "item_id").select("item_id", "title", "n_ratings")
@@ -93,7 +109,7 @@ def csv_item_names(spark, folder):
 @query
 def handed_over_predictions(spark, folder):
     """Predictions written by one job and read, typed, by the next."""
-    path = _path(spark, "handed-over")
+    path = store.new_path(spark, "handed-over")
     rows = ratings.baseline_predictions(ratings.split_ratings(inputs.ratings(spark, folder)))
     writers.write_table(rows.withColumn("rating", F.col("rating").cast("double")), path, True)
     return readers.read_predictions(spark, path)
@@ -101,7 +117,7 @@ def handed_over_predictions(spark, folder):
 
 @query
 def headerless_predictions(spark, folder):
-    path = _path(spark, "headerless")
+    path = store.new_path(spark, "headerless")
     rows = ratings.baseline_predictions(ratings.split_ratings(inputs.ratings(spark, folder)))
     writers.write_csv(rows, path, overwrite=True, header=False)
     return readers.read_predictions_csv(spark, path)
@@ -188,10 +204,15 @@ def native_sample_by(spark, folder):
 
 @query
 def native_random_split(spark, folder):
-    """How often each row occurs over both parts: once."""
+    """How often each row occurs over both parts, and whether the parts have about the shares
+    asked for: the first holds seven tenths of the rows, give or take five standard deviations."""
     rows = inputs.postings(spark, folder).select("job_id")
     a, b = sampling.native_random_split(rows, [0.7, 0.3], seed=0)
-    return a.unionByName(b).groupBy("job_id").agg(F.count(F.lit(1)).alias("copies"))
+    parts = a.withColumn("part", F.lit(0)).unionByName(b.withColumn("part", F.lit(1)))
+    total, first = F.count(F.lit(1)), F.count_if(F.col("part") == 0)
+    close = parts.agg((F.abs(first - 0.7 * total) <= 5 * F.sqrt(0.21 * total)).alias("shares_hold"))
+    copies = parts.groupBy("job_id").agg(F.count(F.lit(1)).alias("copies"))
+    return copies.crossJoin(close)  # one row
 
 
 # --- text ----------------------------------------------------------------------------
@@ -288,7 +309,8 @@ def _worded(spark, folder):
 def count_vectors(spark, folder):
     """Count vectors and their IDF weights, taken apart into long form."""
     rows = _worded(spark, folder)
-    model = topics.fit(Pipeline(stages=features.counted_tfidf("words", "tfidf")), rows)
+    width = features.vocabulary_width(rows, "words")
+    model = topics.fit(Pipeline(stages=features.counted_tfidf("words", "tfidf", width)), rows)
     words = features.vocabulary_table(spark, model.stages[0].vocabulary)
     entries = vectors.vector_rows(model.transform(rows), "doc_id", "tfidf")
     return entries.join(words, F.col("index") == F.col("term_id")).select(
@@ -325,6 +347,14 @@ def language_id(spark, folder):
     return tweets.identify(docs, "doc_id", "text", "lang")
 
 
+@query
+def unlabelled_language_id(spark, folder):
+    """Every third text has no label: profiles come from the others, all texts are scored."""
+    docs = inputs.texts(spark, folder, "documents", "doc_id")
+    some = docs.withColumn("lang", F.when(F.col("doc_id") % 3 > 0, F.col("lang")))
+    return tweets.identify(some, "doc_id", "text", "lang")
+
+
 @query
 def english_filter(spark, folder):
     found = tweets.english(inputs.tweets(spark, folder), "doc_id", "tweet", "lang")
@@ -474,11 +504,21 @@ def auc_rank(spark, folder):
     return metrics.auc(rows)
 
 
+@query
+def auc_missing_scores(spark, folder):
+    """The same with some scores missing: those rows take no part."""
+    rows = _valid(spark, folder).select(
+        F.col("fraudulent").alias("label"),
+        F.when(F.col("job_id") % 5 > 0, F.length("description")).alias("score"),
+    )
+    return metrics.auc(rows)
+
+
 # --- classifiers ---------------------------------------------------------------------
 
 
 def _classified(spark, folder, name):
-    return postings.train(inputs.postings(spark, folder), [name], FOLDS)[0].scored
+    return postings.train(inputs.postings(spark, folder), [name])[0].scored
 
 
 @query
@@ -507,14 +547,14 @@ def cross_validation(spark, folder):
     table = postings.prepared(inputs.postings(spark, folder))
     data = classify.build_features(table, classify.HASH_WIDTH)
     grid = {"maxIter": [10], "regParam": [0.02, 0.2]}
-    return classify.search("logistic", data, FOLDS, **grid).search(spark)
+    return classify.search("logistic", data, **grid).search(spark)
 
 
 @query
 def model_report(spark, folder):
     """Best parameters and test metrics of all four learners."""
     names = ["mlp", "logistic", "svc", "forest"]
-    return classify.report(postings.train(inputs.postings(spark, folder), names, FOLDS))
+    return classify.report(postings.train(inputs.postings(spark, folder), names))
 
 
 # --- topics --------------------------------------------------------------------------
@@ -525,9 +565,19 @@ def _english_words(spark, folder):
     return tweets.tokenised(rows, "doc_id", "tweet")
 
 
+def _counts_pipeline(docs):
+    """Over the whole vocabulary."""
+    return topics.counts_pipeline(features.vocabulary_width(docs, "words"))
+
+
+def _count_topics(spark, folder):
+    docs = _english_words(spark, folder)
+    return topics.fit(_counts_pipeline(docs), docs)
+
+
 @query
 def topics_counts(spark, folder):
-    model = topics.fit(topics.counts_pipeline(), _english_words(spark, folder))
+    model = _count_topics(spark, folder)
     return topics.topic_words(model, 100)
 
 
@@ -539,14 +589,14 @@ def topics_tfidf(spark, folder):
 
 @query
 def topic_word_lists(spark, folder):
-    model = topics.fit(topics.counts_pipeline(), _english_words(spark, folder))
+    model = _count_topics(spark, folder)
     return topics.topic_word_lists(model, 100)
 
 
 @query
 def topic_matrix(spark, folder):
     """Every term's weight in every topic."""
-    model = topics.fit(topics.counts_pipeline(), _english_words(spark, folder))
+    model = _count_topics(spark, folder)
     return topics.topic_words(model)
 
 
@@ -554,8 +604,8 @@ def topic_matrix(spark, folder):
 def doc_topics(spark, folder):
     """Topic shares per document from a model that was saved and loaded again."""
     docs = _english_words(spark, folder)
-    path = _path(spark, "topic-model")
-    writers.save_estimator(topics.counts_pipeline(), f"{path}/estimator")
+    path = store.new_path(spark, "topic-model")
+    writers.save_estimator(_counts_pipeline(docs), f"{path}/estimator")
     fitted = topics.fit(writers.load_estimator(f"{path}/estimator"), docs)
     writers.save_model(fitted, f"{path}/model")
     return topics.doc_topics(writers.load_model(f"{path}/model"), docs, "doc_id")
@@ -585,35 +635,44 @@ def sentiment_lr_auc(spark, folder):
 # --- recommendation models -----------------------------------------------------------
 
 
+def _factors(spark, folder, data):
+    """The full search: 18 points, 5 folds."""
+    return _once(spark, folder, "factors", lambda: factorise.fit(data.train))
+
+
+def _regressed(spark, folder, data):
+    """The full search: 6 points, 5 folds."""
+    items = inputs.items(spark, folder)
+
+    def make():
+        return store.materialise(content.fit_predict(data.train, data.test, items), "regressed")
+
+    return _once(spark, folder, "regressed", make)
+
+
 @query
 def als_predictions(spark, folder):
     data = _split(spark, folder)
-    return factorise.predict(factorise.fit(data.train, ALS_GRID, FOLDS), data.test)
+    return factorise.predict(_factors(spark, folder, data), data.test)
 
 
 @query
 def als_top_n(spark, folder):
     """Ten best items for every user with test rows."""
     data = _split(spark, folder)
-    return factorise.top_items(factorise.fit(data.train, ALS_GRID, FOLDS), data.test)
+    return factorise.top_items(_factors(spark, folder, data), data.test)
 
 
 @query
 def content_regression(spark, folder):
     data = _split(spark, folder)
-    return content.fit_predict(
-        data.train, data.test, inputs.items(spark, folder), REGRESSION_GRID, FOLDS
-    )
+    return _regressed(spark, folder, data)
 
 
 def _hybrid(spark, folder):
-    return ratings.hybrid(
-        inputs.ratings(spark, folder),
-        inputs.items(spark, folder),
-        ALS_GRID,
-        REGRESSION_GRID,
-        FOLDS,
-    )
+    data = _split(spark, folder)
+    factors, regressed = _factors(spark, folder, data), _regressed(spark, folder, data)
+    return ratings.blended(data, factorise.predict(factors, data.test), regressed)
 
 
 @query

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import cached_property
 
 from pyspark.sql import DataFrame, functions as F
 
@@ -25,33 +26,43 @@ SPLIT = [80, 20]
 
 @dataclass
 class SplitRatings:
-    """Written rating rows with their part, train-side means, and the load per user."""
+    """Written rating rows with their part.
 
-    train: DataFrame
-    test: DataFrame
-    items: DataFrame
-    users: DataFrame
-    load: pairs.UserLoad
+    Train-side means and the load per user are made, each with its own action, when they are
+    first asked for: factorisation and regression need none of them.
+    """
 
+    rows: DataFrame
+    block: int
 
-def split_ratings(ratings: DataFrame, block: int = pairs.BLOCK_SIZE) -> SplitRatings:
-    """Actions: writes the ratings, both tables of means, and counts rows per user.
+    @cached_property
+    def train(self) -> DataFrame:
+        return self.rows.filter(F.col("part") == 0).drop("part")
 
-    The means come from train rows only.
-    """
+    @cached_property
+    def test(self) -> DataFrame:
+        return self.rows.filter(F.col("part") == 1).drop("part")
+
+    @cached_property
+    def items(self) -> DataFrame:
+        return store.materialise(similarity.item_means(self.train), "item-means")
+
+    @cached_property
+    def users(self) -> DataFrame:
+        return store.materialise(similarity.user_means(self.train), "user-means")
+
+    @cached_property
+    def load(self) -> pairs.UserLoad:
+        return pairs.user_load(self.rows, self.block)
+
+
+def split_ratings(ratings: DataFrame, block: int = pairs.BLOCK_SIZE) -> SplitRatings:
+    """Action: writes the ratings. The means come from train rows only."""
     key = keys.rating_key(F.col("user_id"), F.col("item_id"))
     rows = store.materialise(
         ratings.withColumn("part", sampling.split_number(key, SPLIT)), "ratings"
     )
-    train = rows.filter(F.col("part") == 0).drop("part")
-    test = rows.filter(F.col("part") == 1).drop("part")
-    return SplitRatings(
-        train,
-        test,
-        store.materialise(similarity.item_means(train), "item-means"),
-        store.materialise(similarity.user_means(train), "user-means"),
-        pairs.user_load(rows, block),
-    )
+    return SplitRatings(rows, block)
 
 
 def baseline_predictions(data: SplitRatings) -> DataFrame:
@@ -118,11 +129,16 @@ def hybrid(
     The grids default to the full ones. Each prediction table is written once.
     """
     data = split_ratings(ratings)
-    model = factorise.fit(data.train, als_grid, folds)
-    factorised = store.materialise(factorise.predict(model, data.test), "factorised")
+    factors = factorise.fit(data.train, als_grid, folds)
     regressed = store.materialise(
         content.fit_predict(data.train, data.test, items, regression_grid, folds), "regressed"
     )
+    return blended(data, factorise.predict(factors, data.test), regressed)
+
+
+def blended(data: SplitRatings, factorised: DataFrame, regressed: DataFrame) -> Hybrid:
+    """The neighbour predictions and both blends for two given tables of predictions."""
+    factorised = store.materialise(factorised, "factorised")
     neighbour = store.materialise(neighbour_predictions(data), "neighbour")
     two = blend.blend(factorised, regressed)
     return Hybrid(

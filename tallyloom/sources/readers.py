@@ -32,7 +32,8 @@ def read_csv(
     """All-text CSV scan.
 
     ``columns`` fixes the names and saves the job that reads the header; without it they
-    come from the header line. With ``keep_corrupt`` the raw text of a row with the wrong
+    come from the header line. A header that names other columns, or in another order, is an
+    error. With ``keep_corrupt`` the raw text of a row with the wrong
     number of fields is kept in ``_corrupt_record``.
     """
     reader = (
@@ -49,7 +50,7 @@ def read_csv(
         if keep_corrupt:
             schema = schema.add(CORRUPT, T.StringType())
             reader = reader.option("columnNameOfCorruptRecord", CORRUPT)
-        reader = reader.schema(schema)
+        reader = reader.schema(schema).option("enforceSchema", not header)
     return reader.csv(path)
 
 
@@ -86,13 +87,16 @@ def read_tweets(
 def read_ratings(
     spark: SparkSession, path: str | list[str], sep: str = ",", header: bool = True
 ) -> DataFrame:
-    """Ratings file ``user, item, rating, timestamp`` with half stars kept as DOUBLE."""
+    """Ratings file ``user, item, rating, timestamp``: BIGINT ids, half stars kept as DOUBLE.
+
+    Rows with a field that is not a number are left out.
+    """
     raw = read_csv(
         spark, path, ["userId", "movieId", "rating", "timestamp"], sep=sep, header=header
     )
     return raw.select(
-        casts.int_or_null(F.col("userId")).alias("user_id"),
-        casts.int_or_null(F.col("movieId")).alias("item_id"),
+        casts.long_or_null(F.col("userId")).alias("user_id"),
+        casts.long_or_null(F.col("movieId")).alias("item_id"),
         casts.double_or_null(F.col("rating")).alias("rating"),
     ).dropna()
 
@@ -103,7 +107,7 @@ def read_items(
     """Item file ``item, title, genres`` with pipe-separated genres."""
     raw = read_csv(spark, path, ["movieId", "title", "genres"], sep=sep, encoding=encoding)
     return raw.select(
-        casts.int_or_null(F.col("movieId")).alias("item_id"), "title", "genres"
+        casts.long_or_null(F.col("movieId")).alias("item_id"), "title", "genres"
     ).dropna(subset=["item_id"])
 
 

@@ -15,34 +15,31 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 
-def shared_folder(spark: SparkSession) -> str | None:
-    """The cluster's checkpoint folder; a temporary one only in local mode."""
-    named = spark.conf.get("spark.checkpoint.dir", None)
-    folder = named or spark.sparkContext.getCheckpointDir()
-    if folder is None and spark.sparkContext.master.startswith("local"):
+def shared_folder(spark: SparkSession) -> str:
+    """The cluster's checkpoint folder, which all executors share.
+
+    Where none is set, a local session (as in tests) gets a temporary one; anything else is an
+    error. MLlib's iterative learners cut their lineage in the same folder.
+    """
+    context = spark.sparkContext
+    folder = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
+    if folder is None:
+        if not context.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         folder = tempfile.mkdtemp(prefix="tallyloom-")
-    if folder is not None and spark.sparkContext.getCheckpointDir() is None:
-        # MLlib's iterative learners cut their lineage here.
-        spark.sparkContext.setCheckpointDir(folder)
+        context.setCheckpointDir(folder)
     return folder
 
 
-def new_path(spark: SparkSession, name: str) -> str | None:
+def new_path(spark: SparkSession, name: str) -> str:
     folder = shared_folder(spark)
-    if folder is None:
-        return None
     app = spark.sparkContext.applicationId
     return f"{folder.rstrip('/')}/tallyloom/{app}/{name}-{uuid.uuid4().hex}"
 
 
 def materialise(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` as Parquet in the shared folder and return the table read back.
-
-    Without a shared folder the plan itself is returned: still right, only recomputed.
-    """
+    """Write ``df`` as Parquet in the shared folder and return the table read back."""
     path = new_path(df.sparkSession, name)
-    if path is None:
-        return df
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
@@ -50,8 +47,6 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
 def release(spark: SparkSession) -> None:
     """Delete every table this application wrote through ``materialise``."""
     folder = shared_folder(spark)
-    if folder is None:
-        return
     jvm = spark.sparkContext._jvm
     path = jvm.org.apache.hadoop.fs.Path(
         f"{folder.rstrip('/')}/tallyloom/{spark.sparkContext.applicationId}"

@@ -22,7 +22,14 @@ def ready(posts):
 def test_prepared_postings(posts):
     assert posts.columns == ["job_id", "label", *classify.FLAGS, *classify.WORDS]
     counts = {r.label: r["count"] for r in posts.groupBy("label").count().collect()}
+    assert counts == {0.0: 337, 1.0: 56}
+
+def test_only_train_rows_are_balanced(posts, ready):
+    train, test = classify.split(posts)
+    assert ready.test.count() == test.count() == 114
+    counts = {r.label: r["count"] for r in ready.train.groupBy("label").count().collect()}
     assert set(counts) == {0.0, 1.0} and 0.5 < counts[0.0] / counts[1.0] < 2
+    assert ready.train.count() < train.count()
 
 def test_features_have_no_overlap_and_full_width(ready):
     assert ready.width == 103
@@ -54,14 +61,22 @@ def test_report_holds_parameters_and_metrics(ready):
     assert 0 <= float(rows["metric", "f1"]) <= 1
     assert ("metric", "accuracy") in rows
 
-def test_one_point_grid_needs_no_folds_and_gives_the_same_model(ready):
+def test_one_point_grid_runs_its_folds_and_is_fitted_on_all_rows(ready):
     key = F.concat(F.lit("fold:"), F.col("job_id").cast("string"))
     lr = LogisticRegression()
     points = tuning.grid(lr, maxIter=[5], regParam=[0.1])
-    args = (lr, points, BinaryClassificationEvaluator(), ready.train, key, 2)
-    quick, full = tuning.cross_validate(*args), tuning.cross_validate(*args, always=True)
-    assert quick.fold_metrics == [] and len(full.fold_metrics) == 1
-    assert quick.model.coefficients.toArray() == pytest.approx(full.model.coefficients.toArray())
+    full = tuning.cross_validate(lr, points, BinaryClassificationEvaluator(), ready.train, key, 2, parallel=1)
+    assert len(full.fold_metrics) == 1
+    plain = lr.fit(ready.train, points[0])
+    assert plain.coefficients.toArray() == pytest.approx(full.model.coefficients.toArray())
+
+def test_full_searches_have_all_their_fits():
+    sizes = {n: 1 for n in classify.GRIDS}
+    assert {n: math.prod(map(len, g.values())) for n, g in classify.GRIDS.items()} == sizes
+    fits = [math.prod(map(len, g.values())) * f + 1 for g, f in (
+        (classify.GRIDS["mlp"], classify.FOLDS), (tweets.TFIDF_GRID, tweets.FOLDS),
+        (factorise.FULL_GRID, factorise.FOLDS), (content.FULL_GRID, content.FOLDS))]
+    assert fits == [11, 3, 91, 31]
 
 def test_search_keeps_the_better_point(spark, ready):
     tuned = classify.search("logistic", ready, 2, maxIter=[5], regParam=[0.01, 50.0])
@@ -70,8 +85,9 @@ def test_search_keeps_the_better_point(spark, ready):
     best = max(range(2), key=lambda i: tuned.fold_metrics[i])
     assert tuned.model.getRegParam() == [0.01, 50.0][best]
 
-def test_vocabulary_width_has_a_limit(posts):
-    assert features.vocabulary_width(posts, "description", 10) == 10
+def test_vocabulary_width_counts_all_terms(posts):
+    terms = posts.select(F.explode("description")).distinct().count()
+    assert features.vocabulary_width(posts, "description") == terms
     assert features.vocabulary_width(posts.limit(0), "description") == 1
 
 @pytest.fixture(scope="module")
@@ -80,7 +96,7 @@ def english(spark, small):
     return tweets.tokenised(docs, "doc_id", "tweet")
 
 def test_topics(spark, english, tmp_path):
-    model = topics.fit(topics.counts_pipeline(k=3, vocabulary=500), english)
+    model = topics.fit(topics.counts_pipeline(500, k=3), english)
     shares = topics.doc_topics(model, english, "doc_id")
     sums = shares.groupBy("doc_id").agg(F.sum("weight").alias("s"), F.count("*").alias("n"))
     for r in sums.collect():

@@ -2,7 +2,9 @@ import pytest
 from pyspark.sql import functions as F
 
 from tallyloom import store
-from tallyloom.functions import casts
+from tallyloom.functions import casts, keys
+from tallyloom.operators import factorise
+from tallyloom.plans import ratings
 from tallyloom.sources import readers, writers
 
 
@@ -66,6 +68,27 @@ def test_ratings_keep_half_stars(spark, tmp_path, sep):
     assert [tuple(r) for r in rows] == [(1, 10, 4.5)]
 
 
+def test_ratings_with_ids_beyond_int(spark, tmp_path):
+    big = 3_000_000_000
+    lines = ["userId,movieId,rating,timestamp"]
+    lines += [f"{big + u},{big + i},{(u + i) % 5 + 0.5},9" for u in range(30) for i in range(11)]
+    rows = readers.read_ratings(spark, put(tmp_path / "r.csv", "\n".join(lines)))
+    assert rows.count() == 330
+    data = ratings.split_ratings(rows)
+    found = ratings.baseline_predictions(data)
+    assert found.count() == data.test.count() > 0
+    factors = factorise.fit(data.train, {"maxIter": [2], "rank": [2], "regParam": [0.1]}, 2)
+    scored = factorise.predict(factors, data.test).collect()
+    assert scored and all(r.user_id >= big and r.item_id >= big for r in scored)
+    assert all(r.item_id >= big for r in factorise.top_items(factors, data.test, 2).collect())
+
+
+def test_a_header_with_other_columns_is_an_error(spark, tmp_path):
+    path = put(tmp_path / "r.csv", "movieId,userId,rating,timestamp\n1,2,3,4\n")
+    with pytest.raises(Exception, match="CSV header does not conform"):
+        readers.read_ratings(spark, path).collect()
+
+
 def test_items_in_latin1_with_pipe_genres(spark, tmp_path):
     text = 'movieId,title,genres\n1,"Amélie, the film",Comedy|Sci-Fi\n'
     path = put(tmp_path / "i.csv", text, "ISO-8859-1")
@@ -95,6 +118,15 @@ def test_casts(spark):
     assert [r.flag for r in rows] == [7, None, None, None, None, None]
     assert [r.whole for r in rows] == [7, -1, None, None, None, None]
     assert [r.part for r in rows] == [7, -1, 1, None, None, None]
+    odd = spark.createDataFrame([("-4.5",), ("4.5",), ("1e300",), ("NaN",), ("1\n",)], "v string")
+    rows = odd.select(casts.whole_part(F.col("v")), casts.flag_or_null(F.col("v"))).collect()
+    assert [r[0] for r in rows][:4] == [-4, 4, None, None] and {r[1] for r in rows} == {None}
+
+
+def test_dense_ids(spark):
+    df = spark.createDataFrame([(i * 10**12,) for i in range(50)] * 2 + [(None,)], "a long")
+    rows = keys.dense_ids(df, "a", "n").collect()
+    assert sorted((r.a, r.n) for r in rows) == [(i * 10**12, i) for i in range(50)]
 
 
 def test_materialise_reads_back_from_files(spark):

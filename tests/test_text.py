@@ -107,6 +107,7 @@ def test_language_by_brute_force(spark):
         (4, "the hund", "en"),
         (5, "123 !!", "en"),
         (6, None, "de"),
+        (7, "the chat und", None),
     ]
     df = spark.createDataFrame(docs, "id int, text string, lang string")
     profile = language.fit_profile(df, "text", "lang")
