@@ -24,28 +24,47 @@ allow com/fr/
 block com/de/
 """
 
-# Labelled hosts and paths from which the regression learns: 1 blocks.
+# Words of a general labelled URL table, from which the regression learns: 1 blocks. No host of
+# the tables that the queries read is among the hosts made of them.
 BLOCKED_WORDS = """
-casino poker bets betting jackpot slots roulette lottery gamble win-big casino-win free-bets
-adult adult-x xxx porn sex-cams escort hot-girls nude cheap-pills pills viagra pharma-deals
-spam spam-farm link-farm click-bait ads ads-track tracker ad-server popunder malware phishing
-warez crack-keys torrent-free fake-login free-money get-rich replica-watches
+casino poker bets betting bookmaker wager jackpot slots roulette blackjack bingo lottery gamble
+gambling adult porn xxx sex nude erotic fetish escort camgirls hookup pills viagra cialis steroids
+pharma drugstore spam spammer linkfarm clickbait ads adserver banner tracker tracking popup
+popunder malware spyware trojan virus keylogger botnet phishing fakelogin warez crack cracked
+keygen torrent pirated freemoney getrich payday replica counterfeit scam fraud
 """
 ALLOWED_WORDS = """
-news blog www m shop store mail docs wiki forum library museum school college university city
-weather travel recipes garden music books film theatre science history maths physics health
-hospital clinic bank post train bus airport sport football tennis chess photo art design code
-data maps help support status about contact press jobs events calendar archive research journal
-review magazine radio television garden-club town-hall open-source public-library tech-notes
+news shop store mail docs wiki forum library museum school college university city weather travel
+recipes garden music books film theatre science history maths physics health hospital clinic bank
+post train bus airport sport football tennis chess photo art design code data maps help support
+status about contact press jobs events calendar archive research journal review magazine radio
+television opensource notes family kitchen house street village river mountain forest island
+harbour bridge church castle market farm baker butcher tailor builder painter writer teacher
+doctor nurse lawyer engineer student children animals horses birds flowers trees summer winter
+morning evening paper letter picture table window cloud water energy solar metal wood stone glass
+cotton coffee cheese bread apple orange cycling walking running swimming sailing hiking camping
+dance choir guitar piano violin orchestra poetry language grammar dictionary english german french
+spanish council parliament election justice police army charity volunteer insurance finance
+economy trade industry software hardware computer network security mobile account customer
 """
+NAMES = ("{0}", "my{0}", "{0}-online", "{0}24", "{0}-{1}", "{1}{0}", "{0}{2}", "the-{2}-{0}")
+SITES = ("https://{}.com/", "http://www.{}.org/about", "https://shop.{}.net/index.html", "https://{}.info/2021/05/12?p=7")
+
+
+def _labelled_words() -> list[tuple[tuple[str, str, str], int]]:
+    """Every word with two allowed ones to stand beside it, and its label."""
+    allowed, blocked = ALLOWED_WORDS.split(), BLOCKED_WORDS.split()
+    words = [(w, 0) for w in allowed] + [(w, 1) for w in blocked]
+    beside = [[allowed[(step * i + step) % len(allowed)] for step in (7, 11)] for i in range(len(words))]
+    return [((w, *others), label) for (w, label), others in zip(words, beside)]
 
 
 def labelled_urls(spark: SparkSession) -> DataFrame:
-    """The words as hosts, alone and below another name, with the same paths for both labels."""
-    kinds = ((word, label) for label, words in enumerate((ALLOWED_WORDS, BLOCKED_WORDS)) for word in words.split())
-    hosts = ("{}.example", "www.{}.example", "m.{}.example", "blog.{}.example")
-    paths = ("/", "/en/1", "/de/2.html", "/fr/3?page=2", "/es/4#top")
-    rows = [(f"https://{h.format(w)}{p}", label) for w, label in kinds for h in hosts for p in paths]
+    """Hosts named by the words, with the same further parts and paths for both labels.
+
+    An allowed word beside a blocked one does not change its label.
+    """
+    rows = [(s.format(n.format(*w)), label) for w, label in _labelled_words() for n in NAMES for s in SITES]
     return spark.createDataFrame(rows, "url string, label int")
 
 
