@@ -50,6 +50,9 @@ economy trade industry software hardware computer network security mobile accoun
 NAMES = ("{0}", "my{0}", "{0}-online", "{0}24", "{0}-{1}", "{1}{0}", "{0}{2}", "the-{2}-{0}")
 SITES = ("https://{}.com/", "http://www.{}.org/about", "https://shop.{}.net/index.html", "https://{}.info/2021/05/12?p=7")
 
+NEUTRAL_HOSTS = ("alderbrook.com", "www.fernhill.org", "rosefield.net", "millbrook.info")
+PATHS = ("/{0}/", "/{0}/{1}/4", "/{1}/{0}.html", "/2020/{0}-{2}", "/{2}{0}/index.html", "/my{0}?p=2")
+
 
 def _labelled_words() -> list[tuple[tuple[str, str, str], int]]:
     """Every word with two allowed ones to stand beside it, and its label."""
@@ -60,11 +63,14 @@ def _labelled_words() -> list[tuple[tuple[str, str, str], int]]:
 
 
 def labelled_urls(spark: SparkSession) -> DataFrame:
-    """Hosts named by the words, with the same further parts and paths for both labels.
+    """Hosts named by the words, with the same further parts and paths for both labels, and
+    paths that hold them, on the same neutral hosts for both labels.
 
     An allowed word beside a blocked one does not change its label.
     """
-    rows = [(s.format(n.format(*w)), label) for w, label in _labelled_words() for n in NAMES for s in SITES]
+    words = _labelled_words()
+    rows = [(s.format(n.format(*w)), label) for w, label in words for n in NAMES for s in SITES]
+    rows += [(f"https://{h}{p.format(*w)}", label) for w, label in words for h in NEUTRAL_HOSTS for p in PATHS]
     return spark.createDataFrame(rows, "url string, label int")
 
 

@@ -251,3 +251,31 @@ def test_url_regression_learns_from_hosts_other_than_the_given_ones(spark, mediu
         blocked[kinds[r["page_id"]][1]].append(r["verdict"] == "block")
     assert sum(blocked[1]) / len(blocked[1]) > 0.8
     assert sum(blocked[0]) / len(blocked[0]) < 0.2
+
+
+# Neutral hosts and path segments that are not among the labelled ones.
+BAD_PATHS = """
+/casino-palace/poker-room/slotmania /grand-casinos/play /a/buy-viagra.html /pillsdirect/7 /pornstars/1
+/watch/adultvideo/3 /bettingtips/today /go/spam-list /torrents-hub/9.html /replicabags /lotterytickets/win
+"""
+CLEAN_PATHS = """
+/zz/1 /en/7817 /de/3.html /quux-7/ / /a/oldmuseum.html /citylibraries/7 /musiclessons/1 /watch/sciencefair/3
+/weatherstation/today /go/bookclub /gardenershop/9.html /travelnotes /hospitaltrust/win
+"""
+
+
+def test_url_regression_judges_by_the_path_on_a_neutral_host(spark):
+    labelled = catalogue.labelled_urls(spark)
+    known = {s for r in url_filter.parts(labelled).select("path").distinct().collect() for s in r["path"].split("/")}
+    kinds = [(path, bad) for bad, paths in enumerate((CLEAN_PATHS, BAD_PATHS)) for path in paths.split()]
+    assert not known & {s for path in BAD_PATHS.split() for s in path.split("/") if s.strip("0123456789")}
+    urls = [f"https://{h}{path}" for path, _ in kinds for h in ("garden.example", "hazelwick.org")]
+    urls += ["https://garden.example/casino/poker/slots", "https://garden.example/en/1"]
+    pages = spark.createDataFrame([*enumerate(urls)], "page_id long, url string")
+    rows = sorted(url_filter.judge(pages, [], labelled, "page_id").collect())
+    assert [r["page_id"] for r in rows] == [*range(len(urls))]
+    verdicts = [r["verdict"] == "block" for r in rows]
+    assert verdicts[-2:] == [True, False]
+    bad, clean = ([v for v, (_, b) in zip(verdicts, (k for k in kinds for _ in range(2))) if b == kind] for kind in (1, 0))
+    assert sum(bad) / len(bad) > 0.8
+    assert sum(clean) / len(clean) < 0.2
