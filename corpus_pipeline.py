@@ -1,7 +1,7 @@
 """A training corpus from ``documents``: five stages, each written as Parquet and read again.
 
-1. ``language``  a document goes if its text has no letter, or if no learned language makes up
-                 a third of it or so (``language_mix.keep``)
+1. ``language``  a document goes if its text has no letter or no language was learned; mixed texts
+                 and those of languages not learned stay (``language_mix.keep``)
 2. ``exact``     of equal texts one stays, the one with the largest id
 3. ``near``      of texts with fingerprints at most 3 bits apart, directly or over others, one
                  stays, the one with the smallest id

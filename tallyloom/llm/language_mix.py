@@ -160,15 +160,18 @@ def detect(docs: DataFrame, languages: Languages) -> DataFrame:
     return common.take(docs, "doc_id", "text").mapInArrow(judged, schema)
 
 
-def keep(docs: DataFrame, languages: Languages, least: float = 0.3) -> DataFrame:
-    """The rows of ``docs``, all columns, of which one learned language makes up ``least``."""
+def keep(docs: DataFrame, languages: Languages) -> DataFrame:
+    """The rows of ``docs``, all columns, that are not ``und``.
+
+    Shares say how mixed a text is, not whether its language was learned, so none is too small:
+    texts of many languages stay, and so do those of languages that were not learned.
+    """
     plain, (text,) = common.plain(docs, "text")
     at = plain.columns.index(text)
 
     def kept(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows = (judge(text.as_py(), languages) for text in batch.column(at))
-            flags = [lang != UNKNOWN and score >= least for lang, score, _ in rows]
+            flags = [judge(text.as_py(), languages)[0] != UNKNOWN for text in batch.column(at)]
             yield batch.filter(pa.array(flags, pa.bool_()))
 
     return common.named(plain.mapInArrow(kept, plain.schema), docs)

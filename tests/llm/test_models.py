@@ -54,6 +54,17 @@ def test_a_mixed_text_has_both_languages(judged):
     assert set(language_mix.judge(one, languages)[2]) == {"en"}
 
 
+def test_texts_of_four_equal_parts_are_kept(spark, judged):
+    docs, languages = judged
+    long = docs.where(F.length("text") > 1000).orderBy("doc_id").select("lang", "text").collect()
+    parts = [[r["text"][:500] for r in long if r["lang"] == lang][:20] for lang in ("en", "fr", "de", "es")]
+    mixed = [" ".join(texts) for texts in zip(*parts)]
+    assert len(mixed) == 20
+    assert sum(language_mix.judge(text, languages)[1] < 0.3 for text in mixed) > 0
+    rows = spark.createDataFrame([*enumerate(mixed)], "doc_id long, text string")
+    assert sorted(language_mix.keep(rows, languages).collect()) == sorted(rows.collect())
+
+
 def test_shares_are_those_of_plain_expectation_maximisation():
     rng = np.random.default_rng(1)
     likely, counts = rng.random((20, 3)), rng.integers(1, 9, 20)
