@@ -4,8 +4,9 @@ For every prefix of a byte string there is exactly one token with which its enco
 token that ends there, whose front part is a prefix with a known last token, and which may
 follow that last token. Two tokens may follow each other when the byte pair merges of the two
 together give back these two. Storing one token per prefix, ``Prefixes`` appends bytes without
-looking at earlier ones, and re-encodes an edit from the place of the edit on; the encoding is
-read off from the end.
+looking at earlier ones. An edit is re-encoded from its place on, until the last tokens of as many
+prefixes in a row as the longest token has bytes are those from before: what follows depends on no
+more than these, so the rest stays. The encoding is read off from the end.
 
 Text is split by the vocabulary's pattern first, each match being encoded separately. A match
 that is a token as a whole is that token. Tokens which their own merges do not give back can
@@ -31,6 +32,7 @@ from tallyloom.llm import common
 LIMIT = 300_000
 PARTS = 200_000
 PIECES = 600_000
+KEPT_SIGNS = 64
 SPACE = " "
 
 
@@ -61,6 +63,7 @@ class Vocabulary:
         by_end: dict[bytes, set[int]] = {}
         for token in self.reachable:
             by_end.setdefault(token[-3:], set()).add(len(token))
+        self.longest = max(map(len, self.reachable))
         #: Lengths of the tokens that end in these bytes, at most three, longest first.
         self.sizes = {end: sorted(sizes, reverse=True) for end, sizes in by_end.items()}
 
@@ -100,10 +103,23 @@ class Prefixes:
         raise ValueError(f"byte {data[end - 1]} is not in the vocabulary")
 
     def replace(self, start: int, end: int, data: bytes) -> None:
-        """Put ``data`` in place of the bytes from ``start`` to ``end``."""
-        rest, self.data = self.data[end:], self.data[:start]
+        """Put ``data`` in place of the bytes from ``start`` to ``end``.
+
+        Takes time for the new bytes and for the few after them whose last token changes.
+        """
+        before, rest = self.last[end:], self.data[end:]
         del self.last[start:]
-        self.append(data + rest)
+        self.data = self.data[:start]
+        self.append(data)
+        edited = len(self.data)
+        self.data += rest
+        same = 0
+        for place, token in enumerate(before):
+            self.last.append(self._last_token(edited + place + 1))
+            same = same + 1 if self.last[-1] == token else 0
+            if same == self.vocabulary.longest:
+                self.last += before[place + 1 :]
+                break
 
     def tokens(self) -> list[int]:
         found, end = [], len(self.data)
@@ -116,7 +132,8 @@ class Prefixes:
 
 class Encoder:
     """Encodes texts; the first ``PARTS`` parts between single spaces and the first ``PIECES``
-    matches of the pattern are kept, and so looked up later; the rest is encoded each time."""
+    matches of the pattern are kept, and so looked up later. The rest, and all that is longer than
+    ``KEPT_SIGNS`` signs, is encoded each time, so that texts without spaces fill no table."""
 
     def __init__(self, path: str, pattern: str):
         self.vocabulary = Vocabulary(load_ranks(path))
@@ -140,7 +157,7 @@ class Encoder:
                 new[part] = self._whole(SPACE + part)
             found = [new[p] if ids is None else ids for p, ids in zip(rest, found)]
             if len(self.parts) < PARTS:
-                self.parts.update(new)
+                self.parts.update((part, ids) for part, ids in new.items() if len(part) <= KEPT_SIGNS)
         if rest and (not first or first[-1].isspace()):
             return self._whole(text)
         return b"".join([self._whole(first), *found])
@@ -155,7 +172,7 @@ class Encoder:
             token = self.vocabulary.ranks.get(data)
             ids = [token] if token is not None else Prefixes(self.vocabulary, data).tokens()
             known = np.array(ids, "<u4").tobytes()
-            if len(self.pieces) < PIECES and len(piece) < 100:
+            if len(self.pieces) < PIECES and len(piece) <= KEPT_SIGNS:
                 self.pieces[piece] = known
         return known
 

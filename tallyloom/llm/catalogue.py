@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tallyloom import store
 from tallyloom.llm import bpe, exact_dedup, language_mix, packing, pii, quality, records, simhash, topk, url_filter
-from tallyloom.llm.common import fold, ship, table
+from tallyloom.llm.common import fold, ship, small_batches, table
 
 BYTES = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 WORDS = public_tokenizers.path("word_bpe_49k.json")
@@ -82,6 +82,7 @@ def query(fn):
     @wraps(fn)
     def shipped(spark: SparkSession, folder: str) -> DataFrame:
         ship(spark)
+        small_batches(spark)
         return fn(spark, folder)
 
     QUERIES[fn.__name__] = shipped
@@ -125,7 +126,7 @@ def op9_token_records(spark, folder):
 @query
 def op2_best_fit_packing(spark, folder):
     found = packing.pieces(table(spark, folder, "documents"), WORDS, end=0)
-    digests = found.withColumn("ids_crc32", F.crc32("ids")).drop("ids")
+    digests = found.select("doc_id", "piece", "start", "length", F.crc32("ids").alias("ids_crc32"), *packing.RANKED)
     return packing.pack(digests).select(
         "doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset"
     )

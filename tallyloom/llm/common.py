@@ -23,18 +23,28 @@ def _shipped(app: str) -> str:
     return shutil.make_archive(f"{tempfile.mkdtemp()}/tallyloom", "zip", root, "tallyloom")
 
 
-ARROW_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
+# For rows that hold whole texts: JVM and worker each keep a batch or two in every task.
+SMALL_BATCHES = {
+    "spark.sql.execution.arrow.maxRecordsPerBatch": "1000",
+    "spark.sql.execution.arrow.maxBytesPerBatch": "4194304",
+}
 
 
 def ship(spark: SparkSession) -> None:
-    """Hand this package to the Python workers, which may start in any folder.
+    """Hand this package to the Python workers, which may start in any folder."""
+    spark.sparkContext.addPyFile(_shipped(spark.sparkContext.applicationId))
+
 
-    Also asks for smaller Arrow batches than Spark's 10,000 rows, unless the session has a
-    number of its own: rows hold whole texts here, and JVM and worker each keep a batch or two.
+def small_batches(spark: SparkSession) -> None:
+    """Ask for Arrow batches of ``SMALL_BATCHES``; a setting that the session was given stays.
+
+    For the registered queries and the pipeline, which own their session's settings. The
+    operators change none.
     """
-    spark.sparkContext.addPyFile(_shipped(spark.sparkContext.applicationId))
-    if spark.conf.get(ARROW_ROWS) == "10000":
-        spark.conf.set(ARROW_ROWS, "1000")
+    given = spark.conf.getAll
+    for name, value in SMALL_BATCHES.items():
+        if name not in given:
+            spark.conf.set(name, value)
 
 
 def _place(columns: list[str], name: str) -> int:

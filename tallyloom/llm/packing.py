@@ -50,11 +50,12 @@ Plan = list[tuple[dict[int, int], int]]
 def pieces(docs: DataFrame, vocabulary: str, end: int, capacity: int = CAPACITY) -> DataFrame:
     """doc_id, piece, start, length, ids: every document's ids and the end id, cut to size.
 
-    ``ids`` holds them as little-endian unsigned 32-bit numbers.
+    ``ids`` holds them as little-endian unsigned 32-bit numbers. The columns of ``RANKED`` come
+    with them, as the pieces are counted where they are made, not in a second Python step.
     """
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = word_tokens(vocabulary)
+        encoder, part, seen = word_tokens(vocabulary), TaskContext.get().partitionId(), defaultdict(int)
         for batch in batches:
             rows, size = [], 0
             for doc_id, found in zip(batch.column(0).to_pylist(), encoder.encode(batch.column(1))):
@@ -63,11 +64,11 @@ def pieces(docs: DataFrame, vocabulary: str, end: int, capacity: int = CAPACITY)
                     rows.append((doc_id, number, start, ids[start : start + capacity]))
                 size += len(ids)
                 if size > 1_000_000:
-                    yield _pieces(rows)
+                    yield _with_ranks(_pieces(rows), part, seen)
                     rows, size = [], 0
-            yield _pieces(rows)
+            yield _with_ranks(_pieces(rows), part, seen)
 
-    schema = "doc_id long, piece int, start long, length long, ids binary"
+    schema = "doc_id long, piece int, start long, length long, ids binary, _part long, _rank long"
     return common.take(docs, "doc_id", "text").mapInArrow(cut, schema)
 
 
@@ -238,22 +239,28 @@ class Places:
         return self.sequence[at] + after // each, self.offset[at] + after % each * length
 
 
-def _ranked(found: DataFrame) -> DataFrame:
+RANKED = ["_part", "_rank"]
+
+
+def _with_ranks(batch: pa.RecordBatch, part: int, seen: dict[int, int]) -> pa.RecordBatch:
     """Adds the task's number and the rank among the task's pieces of the same length."""
-    length_at = found.columns.index("length")
+    ranks = []
+    for length in batch.column("length").to_pylist():
+        ranks.append(seen[length])
+        seen[length] += 1
+    extra = [pa.array([part] * len(ranks), pa.int64()), pa.array(ranks, pa.int64())]
+    return pa.RecordBatch.from_arrays([*batch.columns, *extra], [*batch.schema.names, *RANKED])
+
+
+def ranked(found: DataFrame) -> DataFrame:
+    """``found`` with the columns of ``RANKED``, for pieces that do not come from ``pieces``."""
 
     def rank(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part, seen = TaskContext.get().partitionId(), defaultdict(int)
         for batch in batches:
-            ranks = []
-            for length in batch.column(length_at).to_pylist():
-                ranks.append(seen[length])
-                seen[length] += 1
-            extra = [pa.array([part] * len(ranks), pa.int64()), pa.array(ranks, pa.int64())]
-            names = [*batch.schema.names, "_part", "_rank"]
-            yield pa.RecordBatch.from_arrays([*batch.columns, *extra], names)
-
-    added = [StructField("_part", LongType()), StructField("_rank", LongType())]
+            yield _with_ranks(batch, part, seen)
+
+    added = [StructField(name, LongType()) for name in RANKED]
     return found.mapInArrow(rank, StructType(found.schema.fields + added))
 
 
@@ -263,7 +270,9 @@ def pack(found: DataFrame, capacity: int = CAPACITY) -> DataFrame:
     ``sequence_id`` numbers the sequences from 0; ``offset`` is the place in the sequence,
     which pieces fill without gaps.
     """
-    rows = store.materialise(_ranked(found), "pieces")
+    counted = found if found.columns[-2:] == RANKED else ranked(found)
+    columns = counted.columns[:-2]
+    rows = store.materialise(counted, "pieces")
     counts = store.materialise(rows.groupBy("length", "_part").count(), "piece-counts")
     demand = np.zeros(capacity + 1, np.int64)
     for length, n in counts.groupBy("length").agg(F.sum("count")).collect():
@@ -273,9 +282,9 @@ def pack(found: DataFrame, capacity: int = CAPACITY) -> DataFrame:
     before = counts.select(
         "length", "_part", F.coalesce(F.sum("count").over(earlier), F.lit(0)).alias("_before")
     )
-    ranked = rows.join(before, ["length", "_part"]).withColumn("_rank", F.col("_before") + F.col("_rank"))
-    ranked = ranked.select(*found.columns, "_rank")
-    length_at = found.columns.index("length")
+    placed = rows.join(before, ["length", "_part"]).withColumn("_rank", F.col("_before") + F.col("_rank"))
+    placed = placed.select(*columns, "_rank")
+    length_at = columns.index("length")
 
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -285,4 +294,5 @@ def pack(found: DataFrame, capacity: int = CAPACITY) -> DataFrame:
             yield pa.RecordBatch.from_arrays(columns, names)
 
     added = [StructField("sequence_id", LongType()), StructField("offset", LongType())]
-    return ranked.mapInArrow(place, StructType(found.schema.fields + added))
+    fields = [rows.schema[name] for name in columns]
+    return placed.mapInArrow(place, StructType(fields + added))

@@ -35,6 +35,7 @@ MAX_LABELLED = 8_000
 EPOCHS = 4
 ALPHA, BETA, L1, L2 = 0.5, 1.0, 1e-4, 1e-4
 LIMIT = 200_000
+KEPT_SIGNS = 64
 REPEATED = np.uint32(1)
 MIX = np.uint32(0x9E3779B1)
 FAMILIES = 5
@@ -52,7 +53,8 @@ def form(word: str) -> str:
 
 
 class Words:
-    """Hashes of words and of their forms; those of the first ``LIMIT`` words are kept."""
+    """Hashes of words and of their forms; those of the first ``LIMIT`` words of at most
+    ``KEPT_SIGNS`` signs are kept."""
 
     def __init__(self) -> None:
         self.known: dict[str, tuple[int, int]] = {}
@@ -61,7 +63,7 @@ class Words:
         found = self.known.get(word)
         if found is None:
             found = zlib.crc32(word.lower().encode()), zlib.crc32(form(word).encode(), 7)
-            if len(self.known) < LIMIT:
+            if len(self.known) < LIMIT and len(word) <= KEPT_SIGNS:
                 self.known[word] = found
         return found
 

@@ -4,7 +4,8 @@ Texts of ASCII and Latin-1 letters are cut at white space and where the vocabula
 cuts; a text's ids are those of its pieces, one after another. Such texts need none of the
 library's Unicode steps but the lower case, so its model is asked directly, once for each new
 piece; later ones are looked up. All other texts go to the library whole. The table takes the
-first ``LIMIT`` pieces, the frequent ones among them, and the rest is asked for again. Arrow
+first pieces of at most ``KNOWN_SIGNS`` signs, the frequent ones among them, up to ``TABLE_BYTES``;
+the rest, and every longer run, is asked for again. Arrow
 finds the different runs of a block of texts, so Python handles each of them once and not
 every word.
 """
@@ -20,8 +21,11 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from tokenizers import Tokenizer
 
-LIMIT = 250_000
-BLOCK = 3_000_000
+TABLE_BYTES = 32_000_000
+# Of one entry besides its signs and ids: two Python objects and a place in the table.
+ENTRY_BYTES = 200
+KNOWN_SIGNS = 48
+BLOCK = 1_500_000
 SPECIAL = "<|"
 # The sign that stands for each byte in byte-level vocabularies: itself where it prints.
 PRINTED = [*range(33, 127), *range(161, 173), *range(174, 256)]
@@ -49,6 +53,7 @@ class WordTokens:
         self.tokenizer = Tokenizer.from_file(path)
         self.model = self.tokenizer.model
         self.known: dict[str, bytes] = {}
+        self.held = 0
 
     def encode(self, texts: pa.Array) -> Iterator[np.ndarray]:
         """One array of unsigned 32-bit ids per text; NULL counts as empty."""
@@ -91,8 +96,11 @@ class WordTokens:
         return [joined[run] if ids is None else ids for run, ids in zip(runs, found)]
 
     def _learn(self, ids: dict[str, bytes]) -> None:
-        if len(self.known) < LIMIT:
-            self.known.update(ids)
+        if self.held >= TABLE_BYTES:
+            return
+        new = {run: found for run, found in ids.items() if len(run) <= KNOWN_SIGNS}
+        self.known.update(new)
+        self.held += sum(ENTRY_BYTES + len(run) + len(found) for run, found in new.items())
 
     def _ask(self, pieces: set[str]) -> dict[str, bytes]:
         signs = (p.encode().decode("latin-1").translate(SIGNS) for p in pieces)

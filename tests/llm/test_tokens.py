@@ -13,8 +13,8 @@ from hypothesis import given, settings, strategies as st
 from tokenizers import Tokenizer
 
 from tallyloom import store
-from tallyloom.llm import bpe, catalogue, packing, records
-from tallyloom.llm.tokens import word_tokens
+from tallyloom.llm import bpe, catalogue, packing, records, tokens
+from tallyloom.llm.tokens import WordTokens, word_tokens
 
 from .conftest import ROWS
 
@@ -74,11 +74,35 @@ def test_appending_and_editing_give_the_encoding_of_the_whole(encoder):
         assert grown.tokens() == [RANKS[t] for t in bpe.merge(edited, RANKS)]
 
 
+def test_an_edit_leaves_what_follows_alone(encoder):
+    rng = random.Random(3)
+    data = "".join(rng.choices("etaoinshr dlu", k=20_000)).encode()
+    edited = bpe.Prefixes(encoder.vocabulary, data)
+    asked, one = [], edited._last_token
+    edited._last_token = lambda end: asked.append(end) or one(end)
+    edited.replace(10_000, 10_003, b"quick")
+    whole = bpe.Prefixes(encoder.vocabulary, data[:10_000] + b"quick" + data[10_003:])
+    assert (edited.data, edited.last) == (whole.data, whole.last)
+    assert len(asked) < 10 * encoder.vocabulary.longest
+
+
 def test_a_long_run_without_spaces(encoder):
     text = "ab" * 5000
     assert as_ints(encoder.encode(text)) == TIKTOKEN.encode_ordinary(text)
 
 
+def test_long_runs_stay_out_of_the_tables():
+    rng = random.Random(4)
+    runs = ["".join(rng.choices("abcdefgh", k=100_000)) for _ in range(4)]
+    words, parts = WordTokens(WORDS), bpe.Encoder(BYTES, public_tokenizers.PATTERN)
+    got = [ids.tolist() for ids in words.encode(pa.array([f"a {r} b" for r in runs]))]
+    assert got == [library_ids(f"a {r} b") for r in runs]
+    assert max(map(len, words.known)) <= tokens.KNOWN_SIGNS
+    for run in runs[:1]:
+        assert as_ints(parts.encode(f"a {run} b")) == TIKTOKEN.encode_ordinary(f"a {run} b")
+    assert max(map(len, [*parts.parts, *parts.pieces])) <= bpe.KEPT_SIGNS
+
+
 def test_byte_encoding_of_odd_rows(odd, nothing):
     rows = bpe.encode(odd, BYTES, public_tokenizers.PATTERN).collect()
     got = sorted(((r["doc_id"], r["ids"], bytes(r["decoded"])) for r in rows), key=repr)
