@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tallyloom import store
-from tallyloom.llm import bpe, exact_dedup, language_mix, packing, pii, quality, records, simhash, topk, url_filter
+from tallyloom.llm import bpe, exact_dedup, language_mix, minhash, packing, pii, quality, records, simhash, topk, url_filter
 from tallyloom.llm.common import fold, ship, small_batches, table
 
 BYTES = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
@@ -222,3 +222,41 @@ def op4_language(spark, folder):
         "score",
         "shares",
     )
+
+
+@query
+def op13_minhash(spark, folder):
+    return minhash.near_duplicates(table(spark, folder, "documents"))
+
+
+# The component of a document is the smallest id that it reaches over links, as links are mutual.
+ORACLES["op13_minhash"] = r"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, [x for x in string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+    'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+') if x <> ''] AS words
+  FROM documents
+), s AS MATERIALIZED (
+  SELECT doc_id, CASE WHEN len(words) = 1 THEN words ELSE list_distinct(
+    [words[i] || ' ' || words[i + 1] for i in range(1, len(words))]) END AS shingles
+  FROM w
+), r AS MATERIALIZED (
+  SELECT min(doc_id) AS rep, list_sort(shingles) AS shingles FROM s WHERE len(shingles) > 0 GROUP BY 2
+), e AS MATERIALIZED (
+  SELECT rep, len(shingles) AS n, unnest(shingles) AS shingle FROM r
+), both_ways AS MATERIALIZED (
+  SELECT a.rep AS u, b.rep AS v
+  FROM e a JOIN e b ON a.shingle = b.shingle AND a.rep <> b.rep AND 100 * a.n >= 80 * b.n AND 100 * b.n >= 80 * a.n
+  GROUP BY a.rep, b.rep
+  HAVING 100 * count(*) >= 80 * (any_value(a.n) + any_value(b.n) - count(*))
+), reach AS (
+  SELECT u AS node, v AS seen FROM both_ways
+  UNION SELECT reach.node, both_ways.v FROM reach JOIN both_ways ON reach.seen = both_ways.u
+), c AS (
+  SELECT r.rep, least(r.rep, min(reach.seen)) AS component_id, r.shingles
+  FROM r LEFT JOIN reach ON reach.node = r.rep GROUP BY r.rep, r.shingles
+)
+SELECT s.doc_id, CAST(len(s.shingles) AS BIGINT) AS n_shingles,
+       CASE WHEN len(s.shingles) = 0 THEN s.doc_id ELSE c.component_id END AS component_id,
+       s.doc_id = CASE WHEN len(s.shingles) = 0 THEN s.doc_id ELSE c.component_id END AS kept
+FROM s LEFT JOIN c ON list_sort(s.shingles) = c.shingles
+"""
