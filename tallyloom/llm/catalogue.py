@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tallyloom import store
-from tallyloom.llm import bpe, exact_dedup, language_mix, minhash, packing, pii, quality, records, simhash, topk, url_filter
+from tallyloom.llm import bpe, collocations, exact_dedup, language_mix, minhash, packing, pii, quality, records, simhash, topk, url_filter
 from tallyloom.llm.common import fold, ship, small_batches, table
 
 BYTES = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
@@ -260,3 +260,51 @@ SELECT s.doc_id, CAST(len(s.shingles) AS BIGINT) AS n_shingles,
        s.doc_id = CASE WHEN len(s.shingles) = 0 THEN s.doc_id ELSE c.component_id END AS kept
 FROM s LEFT JOIN c ON list_sort(s.shingles) = c.shingles
 """
+
+
+@query
+def op11_collocations(spark, folder):
+    return collocations.collocations(table(spark, folder, "documents"))
+
+
+ORACLES["op11_collocations"] = r"""
+WITH p AS (
+  SELECT coalesce(lang, 'und') AS lang, unnest(string_split_regex(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece
+  FROM documents
+), w AS MATERIALIZED (
+  SELECT lang, [x for x in string_split_regex(piece, '[\x20\x09]+') if x <> ''] AS words FROM p
+), f AS MATERIALIZED (
+  SELECT lang, size, phrase, count(*) AS f FROM (
+    SELECT lang, 1 AS size, unnest(words) AS phrase FROM w
+    UNION ALL
+    SELECT lang, 2, unnest([words[i] || ' ' || words[i + 1] for i in range(1, len(words))]) FROM w
+    UNION ALL
+    SELECT lang, 3, unnest([words[i] || ' ' || words[i + 1] || ' ' || words[i + 2] for i in range(1, len(words) - 1)]) FROM w
+  ) GROUP BY ALL
+), n AS (
+  SELECT lang, CAST(sum(f) AS BIGINT) AS n FROM f WHERE size = 1 GROUP BY lang
+), c AS (
+  SELECT lang, phrase, f AS a, size, string_split(phrase, ' ') AS words, unnest(range(1, size)) AS k
+  FROM f WHERE size > 1 AND f >= 10
+), s AS (
+  SELECT c.lang, c.phrase, c.size, c.words, c.a, c.k, l.f AS l, r.f AS r,
+         CAST(1000000 * CAST(c.a AS HUGEINT) * c.a // (CAST(l.f AS HUGEINT) * r.f) AS BIGINT) AS score
+  FROM c
+  JOIN f l ON l.lang = c.lang AND l.phrase = array_to_string(c.words[1:c.k], ' ')
+  JOIN f r ON r.lang = c.lang AND r.phrase = array_to_string(c.words[c.k + 1:c.size], ' ')
+), best AS (
+  SELECT * FROM s QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1
+), inner_parts AS (
+  SELECT lang, unnest([array_to_string(words[1:2], ' '), array_to_string(words[2:3], ' ')]) AS phrase, a
+  FROM best WHERE size = 3
+), longest AS (
+  SELECT lang, phrase, max(a) AS longest FROM inner_parts GROUP BY lang, phrase
+), kept AS (
+  SELECT best.* FROM best LEFT JOIN longest USING (lang, phrase)
+  WHERE longest IS NULL OR 100 * longest < 50 * a
+), ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM kept
+)
+SELECT lang, rank, phrase, a, l, r, n, score FROM ranked JOIN n USING (lang) WHERE rank <= 2000
+"""
