@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tallyloom import store
-from tallyloom.llm import bpe, collocations, exact_dedup, language_mix, minhash, packing, pii, quality, records, simhash, topk, url_filter
+from tallyloom.llm import bpe, collocations, exact_dedup, language_mix, minhash, packing, pii, quality, records, simhash, topk, url_filter, variants
 from tallyloom.llm.common import fold, ship, small_batches, table
 
 BYTES = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
@@ -308,3 +308,8 @@ WITH p AS (
 )
 SELECT lang, rank, phrase, a, l, r, n, score FROM ranked JOIN n USING (lang) WHERE rank <= 2000
 """
+
+
+@query
+def op12_spelling_variants(spark, folder):
+    return variants.variants(table(spark, folder, "documents"))
