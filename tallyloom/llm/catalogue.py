@@ -193,7 +193,7 @@ def op8_pii(spark, folder):
     def count(kind):
         return F.size(F.filter(base, lambda s: s["kind"] == kind)).cast("long")
 
-    counts = [count(k).alias(f"n_{name}") for k, name in enumerate(pii.KINDS)]
+    counts = [count(k).alias(f"n_{name}") for k, name in enumerate(pii.BASE_KINDS)]
     digest = F.sha2(written(base).cast("binary"), 256)
     return rows.select("doc_id", *counts, digest.alias("base_sha256"), written("spans").alias("spans"))
 
