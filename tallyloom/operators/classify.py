@@ -33,6 +33,8 @@ GRIDS = {
     "forest": {"numTrees": [80], "maxDepth": [8]},
 }
 FOLDS = 10
+#: Stored bytes of feature vectors to a task of a fit.
+TASK_BYTES = 32_000_000
 
 
 def learner(name: str, width: int):
@@ -102,7 +104,8 @@ def build_features(
     prepared: DataFrame, hash_width: int | None, fractions: dict | None = None
 ) -> Prepared:
     """Balance the train side and fit the feature stages on it alone. ``hash_width=None`` uses the
-    vocabulary sizes. Actions: the fits, and both feature tables are written."""
+    vocabulary sizes. Actions: the fits, and both feature tables are written. The train table has
+    as many partitions as its size asks for."""
     words = [c for c in WORDS if c in prepared.columns]
     train, test = split(prepared)
     train = balanced(train, fractions)
@@ -114,7 +117,7 @@ def build_features(
     keep = ["job_id", "label", features.bare()]
     flags = [c for c in FLAGS if c in prepared.columns]
     return Prepared(
-        store.materialise(model.transform(train).select(*keep), "train-features"),
+        store.by_size(store.materialise(model.transform(train).select(*keep), "train-features"), TASK_BYTES),
         store.materialise(model.transform(test).select(*keep), "test-features"),
         len(flags) + sum(widths.values()),
     )

@@ -12,8 +12,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 
 from tallyloom.functions import keys
 
-# How many fits run at a time unless told otherwise.
-PARALLEL_FITS = 4
+# How many fits run at a time, at least and at most, unless told otherwise.
+PARALLEL_FITS = (4, 16)
 
 
 def grid(estimator: Estimator, **values: Sequence) -> list[dict]:
@@ -48,12 +48,17 @@ def cross_validate(
     train: DataFrame,
     key: Column,
     folds: int,
-    parallel: int = PARALLEL_FITS,
+    parallel: int | None = None,
 ) -> Tuned:
     """Fit every grid point on every fold, then the best point on all of ``train``.
 
-    Pass a ``train`` that is a written or persisted table: each fold reads it twice.
+    Pass a ``train`` that is a written or persisted table: each fold reads it twice. As many fits
+    run at a time as fill the cores with the tasks of ``train``.
     """
+    if parallel is None:
+        cores = train.sparkSession.sparkContext.defaultParallelism
+        least, most = PARALLEL_FITS
+        parallel = min(most, max(least, cores // max(1, train.rdd.getNumPartitions())))
     fitted = CrossValidator(
         estimator=estimator,
         estimatorParamMaps=points,

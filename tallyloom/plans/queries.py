@@ -34,16 +34,20 @@ LARGE = 3_000_000_000
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
-# Results of the long searches, by application, folder and name: queries that need the same
-# search share it.
+# Results of the long searches, by application, folder and name: queries that need the same search
+# share it. Each is kept with the stamp of the tables it was made from, and made anew when they change.
 _SEARCHED: dict = {}
 
+RATED = ["lineitem", "orders", "supplier", "nation", "region"]
+POSTED = ["documents", "labels"]
 
-def _once(spark, folder, name, make):
+
+def _once(spark, folder, name, tables, make):
     key = (spark.sparkContext.applicationId, folder, name)
-    if key not in _SEARCHED:
-        _SEARCHED[key] = make()
-    return _SEARCHED[key]
+    stamp = store.stamp(spark, [f"{folder.rstrip('/')}/{t}.parquet" for t in tables])
+    if key not in _SEARCHED or _SEARCHED[key][0] != stamp:
+        _SEARCHED[key] = stamp, make()
+    return _SEARCHED[key][1]
 
 
 def query(fn):
@@ -517,8 +521,24 @@ def auc_missing_scores(spark, folder):
 # --- classifiers ---------------------------------------------------------------------
 
 
+def _ready(spark, folder, width):
+    """The feature tables of one width; the learners that use it share them."""
+
+    def make():
+        return classify.build_features(postings.prepared(inputs.postings(spark, folder)), width)
+
+    return _once(spark, folder, f"features-{width}", POSTED, make)
+
+
+def _trained(spark, folder, name):
+    def make():
+        return classify.train_and_score(name, _ready(spark, folder, classify.hash_width(name)))
+
+    return _once(spark, folder, f"classify-{name}", POSTED, make)
+
+
 def _classified(spark, folder, name):
-    return postings.train(inputs.postings(spark, folder), [name])[0].scored
+    return _trained(spark, folder, name).scored
 
 
 @query
@@ -544,8 +564,7 @@ def classify_forest(spark, folder):
 @query
 def cross_validation(spark, folder):
     """Mean fold metric of each point of a small logistic grid."""
-    table = postings.prepared(inputs.postings(spark, folder))
-    data = classify.build_features(table, classify.HASH_WIDTH)
+    data = _ready(spark, folder, classify.HASH_WIDTH)
     grid = {"maxIter": [10], "regParam": [0.02, 0.2]}
     return classify.search("logistic", data, **grid).search(spark)
 
@@ -553,8 +572,7 @@ def cross_validation(spark, folder):
 @query
 def model_report(spark, folder):
     """Best parameters and test metrics of all four learners."""
-    names = ["mlp", "logistic", "svc", "forest"]
-    return classify.report(postings.train(inputs.postings(spark, folder), names))
+    return classify.report([_trained(spark, folder, n) for n in ("mlp", "logistic", "svc", "forest")])
 
 
 # --- topics --------------------------------------------------------------------------
@@ -637,7 +655,7 @@ def sentiment_lr_auc(spark, folder):
 
 def _factors(spark, folder, data):
     """The full search: 18 points, 5 folds."""
-    return _once(spark, folder, "factors", lambda: factorise.fit(data.train))
+    return _once(spark, folder, "factors", RATED, lambda: factorise.fit(data.train))
 
 
 def _regressed(spark, folder, data):
@@ -647,7 +665,7 @@ def _regressed(spark, folder, data):
     def make():
         return store.materialise(content.fit_predict(data.train, data.test, items), "regressed")
 
-    return _once(spark, folder, "regressed", make)
+    return _once(spark, folder, "regressed", RATED, make)
 
 
 @query

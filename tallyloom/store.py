@@ -44,6 +44,34 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def by_size(df: DataFrame, task_bytes: int) -> DataFrame:
+    """``df``, a written table, in no more tasks than its size asks for.
+
+    Iterative learners send their weights to every task and back in each step, so a table that one
+    task could hold should not be spread over many. Nothing changes where the table is large.
+    """
+    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    return df.coalesce(max(1, -(-size // task_bytes)))
+
+
+def stamp(spark: SparkSession, paths: list[str]) -> tuple:
+    """Number, bytes and latest change of the files below each path: it differs after a rewrite."""
+    out = []
+    for path in paths:
+        place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+        system = place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+        if not system.exists(place):
+            out.append((path, 0, 0, 0))
+            continue
+        files, number, size, latest = system.listFiles(place, True), 0, 0, 0
+        while files.hasNext():
+            status = files.next()
+            number, size = number + 1, size + status.getLen()
+            latest = max(latest, status.getModificationTime())
+        out.append((path, number, size, latest))
+    return tuple(out)
+
+
 def release(spark: SparkSession) -> None:
     """Delete every table this application wrote through ``materialise``."""
     folder = shared_folder(spark)

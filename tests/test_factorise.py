@@ -1,0 +1,163 @@
+"""Factorisation over tables against MLlib, brute force and its own promises."""
+
+import numpy as np
+import pytest
+from pyspark.ml.evaluation import RegressionEvaluator
+from pyspark.ml.recommendation import ALS
+from pyspark.sql import functions as F
+
+from tallyloom.operators import factorise, sampling
+from tallyloom.functions import keys
+
+
+def low_rank(users=120, items=60, rank=3, share=0.5, seed=1):
+    rng = np.random.default_rng(seed)
+    u, v = rng.normal(size=(users, rank)), rng.normal(size=(items, rank))
+    rows = [(3_000_000_000 + a, b, float(3 + u[a] @ v[b])) for a in range(users) for b in range(items) if rng.random() < share]
+    return rows
+
+
+SCHEMA = "user_id long, item_id long, rating double"
+
+
+@pytest.fixture(scope="module")
+def rated(spark):
+    rows = spark.createDataFrame(low_rank(), SCHEMA)
+    return sampling.hash_split(rows, keys.rating_key(F.col("user_id"), F.col("item_id")), [80, 20])
+
+
+def factors_of(table):
+    return {r.id: np.frombuffer(r.factors, "<f4").astype(float) for r in table.collect()}
+
+
+@pytest.fixture(scope="module")
+def fitted(rated):
+    return factorise.fit(rated[0], {"maxIter": [4, 6], "rank": [3, 4], "regParam": [0.05, 0.1]}, 3)
+
+
+def test_error_is_that_of_mllib(spark, rated):
+    """Other start factors, the same optimum: 40 iterations, as 20 leave both 0.002 apart."""
+    train, test = rated
+    rows = train.withColumn("fold", F.lit(0))
+    sides = factorise.Sides(factorise.cells(rows, "user", "u"), factorise.cells(rows, "item", "i"))
+    _, users, items = next(factorise._alternate(sides, [factorise.Run(4, 0.05)], [40]))
+    u, v = factors_of(users), factors_of(items)
+    off = np.array([r.rating - u[r.user_id] @ v[r.item_id] for r in test.collect()])
+    small = lambda df: df.withColumn("user_id", (F.col("user_id") - 3_000_000_000).cast("int"))
+    als = ALS(userCol="user_id", itemCol="item_id", rank=4, maxIter=40, regParam=0.05, seed=0)
+    theirs = RegressionEvaluator(labelCol="rating").evaluate(als.fit(small(train)).transform(small(test)))
+    assert np.sqrt((off**2).mean()) == pytest.approx(theirs, abs=1e-3)
+
+
+def test_half_step_solves_the_normal_equations(spark):
+    """Each run leaves its fold out; ids without a row in it have no factors."""
+    rows = [(u, i, float((u * i) % 5), (u + i) % 2) for u in range(4) for i in range(5)] + [(9, 1, 2.0, 0)]
+    table = spark.createDataFrame(rows, SCHEMA + ", fold int")
+    runs = [factorise.Run(2, 0.1), factorise.Run(3, 0.2, 0)]
+    where = factorise.cells(table, "user", "t")
+    start = factorise._begin(where.theirs.select("id").distinct(), runs, "t")
+    items, got = factors_of(start), factors_of(factorise._half_step(where, start, runs, "t"))
+    for run, at in zip(runs, factorise._starts(runs)):
+        for user in (0, 1, 2, 3, 9):
+            mine = [(items[i][at], r) for u, i, r, f in rows if u == user and f != run.held]
+            if not mine:
+                assert np.isnan(got[user][at]).all()
+                continue
+            v, y = np.array([m[0] for m in mine]), np.array([m[1] for m in mine])
+            want = np.linalg.solve(v.T @ v + run.reg * len(y) * np.eye(run.rank), v.T @ y)
+            assert got[user][at] == pytest.approx(want, abs=1e-4)
+
+
+@pytest.mark.parametrize("batch", [factorise.BATCH, 40])
+def test_split_ids_have_the_same_factors(spark, monkeypatch, batch):
+    """One user has more than a third of all rows: its rows lie in many cells."""
+    rows = low_rank(20, 60, 2, 0.3) + [(7, i, float(i % 4)) for i in range(200)]
+    table = spark.createDataFrame([(*r, k % 3) for k, r in enumerate(rows)], SCHEMA + ", fold int")
+    runs = [factorise.Run(2, 0.1, k) for k in (-1, 0)]
+    start = factorise._begin(table.select(F.col("item_id").alias("id")).distinct(), runs, "t")
+    whole = factors_of(factorise._half_step(factorise.cells(table, "user", "t"), start, runs, "t"))
+    monkeypatch.setattr(factorise, "CELL_ROWS", 20)
+    monkeypatch.setattr(factorise, "BATCH", batch)
+    where = factorise.cells(table, "user", "t")
+    cells = where.rows.where("own = 7").groupBy("cell").count().collect()
+    assert where.has_split and len(cells) > 5 and max(r["count"] for r in cells) < 60
+    parts = factors_of(factorise._half_step(where, start, runs, "t"))
+    assert whole.keys() == parts.keys()
+    assert all(whole[k] == pytest.approx(parts[k], abs=1e-4) for k in whole)
+
+
+def test_search_reads_smaller_iterations_off_the_way(fitted, rated):
+    assert [sorted(p) for p, _ in fitted.points] == [["maxIter", "rank", "regParam"]] * 8
+    best = min(fitted.points, key=lambda p: p[1])
+    assert (best[0]["rank"], best[0]["regParam"]) == (fitted.rank, fitted.reg)
+    alone = factorise.fit(rated[0], {"maxIter": [4], "rank": [3], "regParam": [0.1]}, 3)
+    same = next(m for p, m in fitted.points if p == alone.points[0][0])
+    assert alone.points[0][1] == pytest.approx(same, abs=1e-4)
+
+
+def test_held_out_error_is_that_of_the_rows(spark, rated):
+    fold = F.pmod(F.xxhash64("item_id", "user_id"), F.lit(2)).cast("int")
+    rows = rated[0].select("user_id", "item_id", "rating", fold.alias("fold"))
+    runs = [factorise.Run(2, 0.1, 0), factorise.Run(3, 0.1, 1)]
+    sides = factorise.Sides(factorise.cells(rows, "user", "u"), factorise.cells(rows, "item", "i"))
+    _, users, items = next(factorise._alternate(sides, runs, [2]))
+    got = factorise._held_out(sides.by_user, items, users, runs)
+    u, v = factors_of(users), factors_of(items)
+    for run, at, error in zip(runs, factorise._starts(runs), got):
+        off = [r.rating - u[r.user_id][at] @ v[r.item_id][at] for r in rows.collect() if r.fold == run.held]
+        off = np.array(off)[~np.isnan(off)]
+        assert error == pytest.approx(np.sqrt((off**2).mean()), abs=1e-6)
+
+
+def test_every_row_is_predicted(spark, fitted, rated):
+    known = rated[0].first()
+    rows = [(known.user_id, known.item_id, 1.0)] * 2
+    rows += [(known.user_id, 10**9, 1.0), (5, known.item_id, 2.0), (5, 10**9, 3.0), (None, None, None)]
+    got = factorise.predict(fitted, spark.createDataFrame(rows, SCHEMA)).collect()
+    means = {c: rated[0].where(F.col(c) == known[c]).agg(F.avg("rating")).first()[0] for c in ("user_id", "item_id")}
+    found = sorted(((r.user_id, r.item_id), r.prediction) for r in got if r.user_id is not None)
+    u, v = factors_of(fitted.users), factors_of(fitted.items)
+    want = {
+        (known.user_id, known.item_id): u[known.user_id] @ v[known.item_id],
+        (known.user_id, 10**9): means["user_id"],
+        (5, known.item_id): means["item_id"],
+        (5, 10**9): fitted.mean,
+    }
+    assert len(got) == 6 and all(p == pytest.approx(want[k], abs=1e-5) for k, p in found)
+    assert [r.prediction for r in got if r.user_id is None] == [pytest.approx(fitted.mean)]
+
+
+def test_fold_in_gives_later_users_factors(spark, fitted, rated):
+    """A user's own rows under another id lead to almost the same factors, and to good predictions."""
+    user = rated[0].first().user_id
+    rows = rated[0].where(F.col("user_id") == user).withColumn("user_id", F.lit(77).cast("long"))
+    late, fixed = factors_of(factorise.fold_in(fitted, rows)), factors_of(fitted.users)[user]
+    assert late.keys() == {77} and np.abs(late[77] - fixed).max() < 0.05
+    item = rated[0].first().item_id
+    rows = rated[0].where(F.col("item_id") == item).withColumn("item_id", F.lit(78).cast("long"))
+    assert factors_of(factorise.fold_in(fitted, rows, "item")).keys() == {78}
+
+
+@pytest.mark.parametrize("block", [factorise.ITEM_BLOCK, 4])
+def test_top_items_are_those_of_all_products(spark, fitted, rated, monkeypatch, block):
+    monkeypatch.setattr(factorise, "ITEM_BLOCK", block)
+    monkeypatch.setattr(factorise, "USER_BLOCK", 50)
+    met, one = [], factorise._best_of_blocks
+    monkeypatch.setattr(factorise, "_best_of_blocks", lambda users, *a: met.append(users.count()) or one(users, *a))
+    rows = factorise.top_items(fitted, rated[1], 5).collect()
+    u, v = factors_of(fitted.users), factors_of(fitted.items)
+    want = []
+    for user in {r.user_id for r in rated[1].collect()} & u.keys():
+        best = sorted((-(u[user] @ v[i]), i) for i in v)[:5]
+        want += [(user, k + 1, i, -s) for k, (s, i) in enumerate(best)]
+    got = sorted(tuple(r) for r in rows)
+    assert [r[:3] for r in got] == [r[:3] for r in sorted(want)]
+    assert [r[3] for r in got] == pytest.approx([r[3] for r in sorted(want)])
+    assert block > 4 or (len(met) > 2 and met[-1] < met[0])
+
+
+def test_no_rows(spark):
+    rows = spark.createDataFrame([(1, 1, 3.0), (1, 2, 4.0), (2, 1, 2.0), (2, 2, None)], SCHEMA)
+    model = factorise.fit(rows, {"maxIter": [2], "rank": [2], "regParam": [0.1]}, 2)
+    assert factorise.predict(model, rows.limit(0)).count() == 0
+    assert factorise.top_items(model, rows.limit(0), 3).count() == 0
