@@ -11,6 +11,11 @@ text speaks for more.
 The distributions are learned from at most ``PER_LANGUAGE`` texts of each language, those whose
 id has the smallest hash, and their ids are sent to all tasks; every text is judged.
 
+Whether a text is in any learned language at all is another question: shares always sum to 1. Under a
+background model its n-grams fall on slots by chance, and so on those that any language was seen to
+use as often as there are such slots. ``keep`` lets a text go that has at least ``EVIDENCE`` different
+n-grams and hits those slots no more often than that, within ``DEVIATIONS`` standard deviations.
+
 NULL texts and texts without a letter are ``und`` with score 0, and so is every text where no
 language was learned. Ties go to the language that comes first by name. NULL languages are not
 learned from. NULL ids and repeated rows stay as they are. An empty table gives an empty result.
@@ -24,6 +29,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from tallyloom.llm import common
@@ -35,6 +41,8 @@ SMOOTHING = 0.1
 PENALTY = 0.5
 STEPS = 15
 UNKNOWN = "und"
+EVIDENCE = 20
+DEVIATIONS = 3.0
 
 
 def _signs() -> np.ndarray:
@@ -76,6 +84,14 @@ class Languages:
 
     def __post_init__(self) -> None:
         self.likely = np.exp(self.logs)
+        # A slot that a language never used has that language's lowest probability.
+        self.used = (self.logs > self.logs.min(axis=0) + 1e-9).any(axis=1) if self.names else np.zeros(WIDTH, bool)
+
+    def by_chance(self, slot: np.ndarray) -> bool:
+        """Whether these different slots hit the used ones no more often than any slots would."""
+        share, n = float(self.used.mean()), len(slot)
+        most = n * share + DEVIATIONS * np.sqrt(n * share * (1 - share))
+        return n >= EVIDENCE and int(self.used[slot].sum()) <= most
 
 
 def fit(docs: DataFrame, usable: Column, limit: int = PER_LANGUAGE) -> Languages:
@@ -161,17 +177,28 @@ def detect(docs: DataFrame, languages: Languages) -> DataFrame:
 
 
 def keep(docs: DataFrame, languages: Languages) -> DataFrame:
-    """The rows of ``docs``, all columns, that are not ``und``.
+    """The rows of ``docs``, all columns, that are in learned languages; a NULL ``lang`` is filled.
 
-    Shares say how mixed a text is, not whether its language was learned, so none is too small:
-    texts of many languages stay, and so do those of languages that were not learned.
+    ``und`` texts go, and those whose n-grams the background model explains. Shares say how mixed a
+    text is, so none is too small, and texts of several languages stay; short texts of which too
+    little can be said stay too. A ``lang`` that is given is not changed.
     """
     plain, (text,) = common.plain(docs, "text")
     at = plain.columns.index(text)
+    lang_at = docs.columns.index("lang") if "lang" in docs.columns else None
 
     def kept(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            flags = [judge(text.as_py(), languages)[0] != UNKNOWN for text in batch.column(at)]
-            yield batch.filter(pa.array(flags, pa.bool_()))
+            texts = batch.column(at).to_pylist()
+            found = [judge(text, languages)[0] for text in texts]
+            known = [
+                lang != UNKNOWN and not languages.by_chance(np.unique(slots(text))) for lang, text in zip(found, texts)
+            ]
+            columns = [*batch.columns]
+            if lang_at is not None:
+                given = columns[lang_at]
+                columns[lang_at] = pc.coalesce(given, pa.array(found, given.type))
+            batch = pa.RecordBatch.from_arrays(columns, batch.schema.names)
+            yield batch.filter(pa.array(known, pa.bool_()))
 
     return common.named(plain.mapInArrow(kept, plain.schema), docs)

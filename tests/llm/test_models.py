@@ -65,6 +65,23 @@ def test_texts_of_four_equal_parts_are_kept(spark, judged):
     assert sorted(language_mix.keep(rows, languages).collect()) == sorted(rows.collect())
 
 
+def test_languages_that_were_not_learned_go_and_missing_ones_are_filled(spark, judged, medium):
+    languages = judged[1]
+    greek = "Τα παιδιά παίζουν στην αυλή του σχολείου κάθε πρωί πριν αρχίσει το μάθημα"
+    noise = "zqxjkvbwpfgh qzxkvjwq bnvczxqj wqzxkjvb qqzzxxjj kkvvbbww xzqjwkvb"
+    short = "Γεια σου"
+    texts = {r["doc_id"]: r for r in spark.read.parquet(f"{medium}/documents.parquet").select("doc_id", "text", "lang").collect()}
+    known = [(r["doc_id"], r["text"], r["lang"] if r["doc_id"] % 2 else None) for r in texts.values()]
+    rows = [*known, (-1, greek, "el"), (-2, noise, None), (-3, short, None), (-4, short, "el"), (-5, "123", None)]
+    kept = language_mix.keep(spark.createDataFrame(rows, "doc_id long, text string, lang string"), languages)
+    kept = {r["doc_id"]: r["lang"] for r in kept.collect()}
+    assert {i for i in kept if i < 0} == {-3, -4} and kept[-4] == "el" and kept[-3] in languages.names
+    letters = {i for i, r in texts.items() if any(c.isalpha() for c in r["text"])}
+    assert {i for i in kept if i >= 0} == letters
+    assert sum(kept[i] == texts[i]["lang"] for i in letters) >= 0.99 * len(letters)
+
+
+
 def test_shares_are_those_of_plain_expectation_maximisation():
     rng = np.random.default_rng(1)
     likely, counts = rng.random((20, 3)), rng.integers(1, 9, 20)
