@@ -18,12 +18,14 @@ that holds checksums stays sound. Ids take two bytes each where all of a record
 byte lets Spark's own text writer make the files: they reach any file system Spark knows,
 and a task that is lost or run twice leaves one whole file.
 
-Shards are cut by document id into ranges of about ``SHARD_BYTES`` of text, whatever the size
-of the input, so that one file is always small enough to read as one value.
+Shards are ranges of document id, and within an id of a hash of the text, so that rows of one id may
+lie in many. The shuffle makes at most ``MOST_RANGES`` of them; the writer cuts each into files of
+about ``SHARD_BYTES`` of text, by the mean size of a row, so that a file is small enough to read as
+one value at any size of the input. A shard's number is that of its range and of its file there.
 
 NULL text counts as empty and gives a record with the end id alone. NULL ids come first and
-stay NULL. Rows with the same id are in order of their text; each is a record of its own. An
-empty table gives no records. Other columns of the input are not looked at.
+stay NULL. Rows with the same id are in order of a hash of their text; each is a record of its own.
+An empty table gives no records. Other columns of the input are not looked at.
 """
 
 from __future__ import annotations
@@ -40,12 +42,14 @@ from tallyloom.llm import common
 from tallyloom.llm.tokens import word_tokens
 
 SHARD_BYTES = 16_000_000
+MOST_RANGES = 50_000
+FILES = 1 << 20
 BLOCK_IDS = 1_000_000
 HEAD = struct.Struct("<QI")
 BODY = struct.Struct("<BBq")
 TAIL = struct.Struct("<IB")
 EXTRA = HEAD.size + TAIL.size
-FIELDS = "shard int, record long, doc_id long, offset long, length long, before long, n_tokens long"
+FIELDS = "shard long, record long, doc_id long, offset long, length long, before long, n_tokens long"
 
 
 def masked(data) -> int:
@@ -81,9 +85,14 @@ def parse(data: memoryview, offset: int) -> tuple[int | None, np.ndarray, int]:
 def write(docs: DataFrame, path: str, vocabulary: str, end: int, shard_bytes: int = SHARD_BYTES) -> None:
     """Tokenise ``docs`` and write records and index below ``path``."""
     rows = common.take(docs, "doc_id", "text")
-    total = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    shards = max(1, -(-total // shard_bytes))
-    ordered = rows.repartitionByRange(shards, "doc_id").sortWithinPartitions("doc_id", "text")
+    total, count = rows.agg(F.sum(F.octet_length("text")), F.count(F.lit(1))).first()
+    shards = max(1, -(-(total or 0) // shard_bytes))
+    each = max(1, -(-count // shards))
+    # The last key tells rows apart that are alike in all that is written.
+    order = ["doc_id", "_hash", "_row"]
+    rows = rows.withColumns({"_hash": F.xxhash64("text"), "_row": F.monotonically_increasing_id()})
+    ordered = rows.repartitionByRange(min(shards, MOST_RANGES), *order).sortWithinPartitions(*order)
+    ordered = ordered.select("doc_id", "text")
 
     def frames(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = word_tokens(vocabulary)
@@ -98,12 +107,16 @@ def write(docs: DataFrame, path: str, vocabulary: str, end: int, shard_bytes: in
             yield pa.RecordBatch.from_arrays([pa.array(made, pa.binary())], ["value"])
 
     made = ordered.mapInArrow(frames, "value binary")
-    made.select(F.col("value").cast("string")).write.text(f"{path}/records")
+    # Twice the mean: a range that is a little longer than others stays one file.
+    written = made.select(F.col("value").cast("string")).write.option("maxRecordsPerFile", 2 * each)
+    written.text(f"{path}/records")
     _write_index(docs.sparkSession, path)
 
 
 def _files(spark: SparkSession, path: str) -> DataFrame:
-    shard = F.regexp_extract(F.element_at(F.split("path", "/"), -1), r"^part-(\d+)", 1).cast("int")
+    name = F.element_at(F.split("path", "/"), -1)
+    number = [F.regexp_extract(name, r"^part-(\d+)-.*-c(\d+)", i).cast("long") for i in (1, 2)]
+    shard = number[0] * FILES + number[1]
     files = spark.read.format("binaryFile").option("pathGlobFilter", "part-*").load(f"{path}/records")
     return files.select(shard.alias("shard"), "content")
 
@@ -121,7 +134,7 @@ def _write_index(spark: SparkSession, path: str) -> None:
 
 def _batch(rows: list[tuple], ids: list[np.ndarray] | None) -> pa.RecordBatch:
     names = [f.split()[0] for f in FIELDS.split(", ")]
-    kinds = [pa.int32()] + [pa.int64()] * (len(names) - 1)
+    kinds = [pa.int64()] * len(names)
     columns = [pa.array(c, k) for c, k in zip(zip(*rows), kinds)]
     if ids is not None:
         columns.append(pa.array([x.astype("<u4").tobytes() for x in ids], pa.binary()))

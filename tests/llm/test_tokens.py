@@ -137,6 +137,25 @@ def test_records_come_back_in_order(spark, written):
     assert len({r["shard"] for r in rows}) > 1
 
 
+def test_rows_of_one_id_lie_in_many_shards(spark, odd):
+    """A third of the rows have one id, and some of these are alike; another third have none."""
+    rows = [(7 if i % 3 == 0 else None if i % 3 == 1 else i, f"word{i // 9} again and again") for i in range(600)]
+    path = store.new_path(spark, "test-hot-records")
+    records.write(spark.createDataFrame(rows, "doc_id long, text string"), path, WORDS, end=2, shard_bytes=1_000)
+    got = sorted(records.read(spark, path).collect(), key=lambda r: (r["shard"], r["record"]))
+    hot = {r["shard"] for r in got if r["doc_id"] == 7}
+    assert len(hot) > 3 and len({r["shard"] for r in got if r["doc_id"] is None}) > 3
+    ids = [r["doc_id"] for r in got]
+    assert ids == sorted(ids, key=lambda i: (i is not None, i or 0))
+    want = sorted(((i, [*library_ids(t), 2]) for i, t in rows), key=repr)
+    assert sorted(((r["doc_id"], as_ints(r["ids"])) for r in got), key=repr) == want
+    starts = {(r["shard"], r["record"]): r["start"] for r in records.index(spark, path).collect()}
+    before = 0
+    for r in got:
+        assert starts[r["shard"], r["record"]] == before
+        before += r["n_tokens"]
+
+
 def test_index_finds_each_record(spark, written):
     shuffled = records.shuffled(spark, written, seed=7)
     again = [r["position"] for r in records.shuffled(spark, written, seed=7).collect()]
