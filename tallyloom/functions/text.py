@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import string
+
 from pyspark.sql import Column, functions as F
 
 # The English stop words of Spark's StopWordsRemover, in its order.
@@ -20,13 +22,18 @@ STOP_WORDS = (
     "what's when's where's who's why's would"
 ).split()
 
-# ASCII punctuation.
-PUNCTUATION = "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
+PUNCTUATION = string.punctuation
+
+# What is taken out of prose, tweets, item titles and genres.
+NOT_PROSE = r"[^a-zA-Z\s]"
+NOT_TWEET = "[^a-zA-Z+ ]"
+NOT_TITLE = "[^a-zA-Z0-9 ]"
+NOT_GENRES = "[^a-zA-Z0-9- ]"
 
 
 def clean_prose(c: Column) -> Column:
     """Lower-case letters and whitespace; runs of whitespace become one space."""
-    return F.lower(F.regexp_replace(F.regexp_replace(c, r"[^a-zA-Z\s]", ""), r"\s\s+", " "))
+    return F.lower(F.regexp_replace(F.regexp_replace(c, NOT_PROSE, ""), r"\s\s+", " "))
 
 
 def squash(c: Column) -> Column:
@@ -36,16 +43,16 @@ def squash(c: Column) -> Column:
 
 def clean_tweet(c: Column) -> Column:
     """Lower-case letters, plus signs and spaces."""
-    return F.lower(F.regexp_replace(c, "[^a-zA-Z+ ]", ""))
+    return F.lower(F.regexp_replace(c, NOT_TWEET, ""))
 
 
 def clean_item_title(c: Column) -> Column:
-    return F.lower(F.regexp_replace(c, "[^a-zA-Z0-9 ]", ""))
+    return F.lower(F.regexp_replace(c, NOT_TITLE, ""))
 
 
 def clean_genres(c: Column) -> Column:
     """Pipes and other separators become spaces; hyphens stay inside names."""
-    return F.lower(F.regexp_replace(c, "[^a-zA-Z0-9 -]", " "))
+    return F.lower(F.regexp_replace(c, NOT_GENRES, " "))
 
 
 def strip_markup(c: Column) -> Column:

@@ -42,6 +42,20 @@ RATINGS = """ratings AS (
     CAST(ceil(avg(l_quantity) / 10) AS INTEGER) AS rating
   FROM lineitem JOIN orders ON l_orderkey = o_orderkey GROUP BY 1, 2)"""
 
+DIRTY = """dirty AS (
+  SELECT *, CASE kind
+      WHEN 'fields' THEN CASE WHEN (user_id * 31 + item_id) % 11 = 0 THEN concat(user_id, ',', item_id)
+        ELSE concat(user_id, ',', item_id, ',', rating, ',0,more') END
+      WHEN 'user_id' THEN concat('u', user_id, ',', item_id, ',', rating, ',0')
+      WHEN 'item_id' THEN concat(user_id, ',,', rating, ',0')
+      WHEN 'rating' THEN concat(user_id, ',', item_id, ',good,0') END AS line
+  FROM (
+    SELECT *, CASE WHEN (user_id * 31 + item_id) % 11 = 0 OR (user_id * 31 + item_id) % 13 = 0 THEN 'fields'
+      WHEN (user_id * 31 + item_id) % 17 = 0 THEN 'user_id' WHEN (user_id * 31 + item_id) % 19 = 0 THEN 'item_id'
+      WHEN (user_id * 31 + item_id) % 23 = 0 THEN 'comma' WHEN (user_id * 31 + item_id) % 29 = 0 THEN 'rating'
+      ELSE 'good' END AS kind
+    FROM ratings))"""
+
 ITEMS = """items AS (
   SELECT s_suppkey AS item_id, concat(s_name, ' (', n_name, ')') AS title,
     concat(r_name, '|', n_name) AS genres
@@ -253,6 +267,13 @@ def _filled(kind: str) -> str:
     picked = ", ".join(f"{value.format(c=c)} AS {c}" for c in FLAG_COLUMNS)
     return f"m AS (SELECT {means} FROM flags) SELECT f.job_id, {picked} FROM flags f CROSS JOIN m"
 
+ENGLISH_WORDS = (
+    "spoken AS (SELECT doc_id, unnest(string_split_regex(lower("
+    + _only("[^a-zA-Z+ ]", "text")
+    + f"), '{WS}')) AS term FROM documents WHERE lang = 'en'),"
+    f" english_words AS (SELECT DISTINCT doc_id, term FROM spoken WHERE term <> '' AND term NOT IN ({STOP_LIST}))"
+)
+
 
 ORACLES: dict[str, str] = {
     "csv_postings": f"WITH {POSTINGS} SELECT CAST(job_id AS VARCHAR) AS job_id, * EXCLUDE (job_id)"
@@ -386,4 +407,25 @@ stats AS (
   FROM ranked)
 SELECT 'area_under_roc' AS metric, round((rank_sum - p * (p + 1) / 2) / (p * n), 6) AS value
 FROM stats""",
+    "dirty_ratings": f"WITH {RATINGS}, {DIRTY} SELECT user_id, item_id, CASE WHEN kind = 'comma' THEN 4.0"
+    " ELSE CAST(rating AS DOUBLE) END AS rating FROM dirty WHERE kind IN ('good', 'comma')",
+    "rejected_ratings": f"WITH {RATINGS}, {DIRTY} SELECT kind AS reason, count(*) AS n_rows,"
+    " count(DISTINCT line) AS n_lines FROM dirty WHERE kind NOT IN ('good', 'comma') GROUP BY 1",
+    "classified_rows": f"WITH {VALID} SELECT model, job_id, CAST(fraudulent AS DOUBLE) AS label, TRUE AS classed"
+    " FROM valid CROSS JOIN (SELECT unnest(['logistic', 'svc', 'forest', 'mlp']) AS model)"
+    f" WHERE {_bits("'split:' || job_id")} % 100 >= 70",
+    "topic_terms_covered": f"WITH {ENGLISH_WORDS} SELECT term, CAST(5 AS BIGINT) AS n_topics,"
+    " TRUE AS weighted FROM (SELECT DISTINCT term FROM english_words)",
+    "doc_topic_sums": f"WITH {ENGLISH_WORDS} SELECT d.doc_id, CAST(5 AS BIGINT) AS n_topics,"
+    " CAST(d.doc_id IN (SELECT doc_id FROM english_words) AS DOUBLE) AS share_sum"
+    " FROM documents d WHERE d.lang = 'en'",
+    "als_rows": f"WITH {SPLIT} SELECT user_id, item_id, CAST(rating AS DOUBLE) AS rating, TRUE AS scored FROM test",
+    "regression_rows": f"WITH {SPLIT} SELECT user_id, item_id, CAST(rating AS DOUBLE) AS rating,"
+    " TRUE AS scored FROM test",
+    "hybrid_rows": f"WITH {SPLIT} SELECT user_id, item_id, CAST(rating AS DOUBLE) AS rating, TRUE AS scored FROM test",
+    "cold_start_rows": f"WITH {SPLIT} SELECT user_id IN (SELECT user_id FROM train) AS user_known,"
+    " item_id IN (SELECT item_id FROM train) AS item_known, count(*) AS n_rows FROM test GROUP BY 1, 2",
+    "als_top_n_sizes": f"WITH {SPLIT}, n AS (SELECT least(10, count(DISTINCT item_id)) AS n FROM train)"
+    " SELECT DISTINCT user_id, n AS n_items, CAST(n AS INTEGER) AS last_rank FROM test CROSS JOIN n"
+    " WHERE user_id IN (SELECT user_id FROM train)",
 }

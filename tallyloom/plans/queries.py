@@ -91,6 +91,39 @@ def _half_stars(spark, folder, shift=0):
     )
 
 
+def _dirty_ratings(spark, folder):
+    """A file of ratings some of whose rows, by key, are not what they should be."""
+    key = F.col("user_id") * 31 + F.col("item_id")
+    good = F.concat_ws(",", "user_id", "item_id", "rating", F.lit("0"))
+    line = (
+        F.when(key % 11 == 0, F.concat_ws(",", "user_id", "item_id"))
+        .when(key % 13 == 0, F.concat(good, F.lit(",more")))
+        .when(key % 17 == 0, F.concat(F.lit("u"), good))
+        .when(key % 19 == 0, F.concat_ws(",", "user_id", F.lit(""), "rating", F.lit("0")))
+        .when(key % 23 == 0, F.concat_ws(",", "user_id", "item_id", F.lit("4,5")))
+        .when(key % 29 == 0, F.concat_ws(",", "user_id", "item_id", F.lit("good"), F.lit("0")))
+        .otherwise(good)
+    )
+    path = store.new_path(spark, "dirty-ratings")
+    inputs.ratings(spark, folder).select(line.alias("value")).write.text(path)
+    return path
+
+
+@query
+def dirty_ratings(spark, folder):
+    """The rows of such a file that are ratings: the comma of a "4,5" moves the other half star."""
+    return readers.read_ratings(spark, _dirty_ratings(spark, folder), header=False)
+
+
+@query
+def rejected_ratings(spark, folder):
+    """How many rows were left out, by reason, and how many different lines they are."""
+    rows = readers.rejected_ratings(spark, _dirty_ratings(spark, folder), header=False)
+    return rows.groupBy("reason").agg(
+        F.count(F.lit(1)).alias("n_rows"), F.countDistinct("line").alias("n_lines")
+    )
+
+
 @query
 def large_id_baseline(spark, folder):
     """Ratings with ids beyond INT: written, read, split and predicted."""
@@ -575,6 +608,17 @@ def model_report(spark, folder):
     return classify.report([_trained(spark, folder, n) for n in ("mlp", "logistic", "svc", "forest")])
 
 
+@query
+def classified_rows(spark, folder):
+    """Which rows each learner scored, with their labels, and whether it gave a class."""
+    out = None
+    for name in ("logistic", "svc", "forest", "mlp"):
+        rows = _trained(spark, folder, name).scored
+        rows = rows.select(F.lit(name).alias("model"), "job_id", "label", F.col("prediction").isin(0.0, 1.0).alias("classed"))
+        out = rows if out is None else out.unionByName(rows)
+    return out
+
+
 # --- topics --------------------------------------------------------------------------
 
 
@@ -589,8 +633,36 @@ def _counts_pipeline(docs):
 
 
 def _count_topics(spark, folder):
+    def make():
+        docs = _english_words(spark, folder)
+        return topics.fit(_counts_pipeline(docs), docs)
+
+    return _once(spark, folder, "count-topics", ["documents"], make)
+
+
+@query
+def topic_terms_covered(spark, folder):
+    """The terms of the topics matrix: each has a weight of 0 or more in every topic."""
+    rows = topics.topic_words(_count_topics(spark, folder))
+    return rows.groupBy("term").agg(
+        F.countDistinct("topic").alias("n_topics"), (F.min("weight") >= 0).alias("weighted")
+    )
+
+
+@query
+def doc_topic_sums(spark, folder):
+    """Number and sum of the topic shares of each English document; without words the sum is 0."""
     docs = _english_words(spark, folder)
-    return topics.fit(_counts_pipeline(docs), docs)
+    shares = topics.doc_topics(_count_topics(spark, folder), docs, "doc_id")
+    return shares.groupBy("doc_id").agg(
+        F.count(F.lit(1)).alias("n_topics"), F.round(F.sum("weight"), 6).alias("share_sum")
+    )
+
+
+@query
+def topic_report(spark, folder):
+    """Parameters of the topic model's stages."""
+    return topics.report(_count_topics(spark, folder))
 
 
 @query
@@ -658,14 +730,14 @@ def _factors(spark, folder, data):
     return _once(spark, folder, "factors", RATED, lambda: factorise.fit(data.train))
 
 
-def _regressed(spark, folder, data):
+def _regression(spark, folder, data):
     """The full search: 6 points, 5 folds."""
     items = inputs.items(spark, folder)
+    return _once(spark, folder, "regression", RATED, lambda: content.fit(data.train, items))
 
-    def make():
-        return store.materialise(content.fit_predict(data.train, data.test, items), "regressed")
 
-    return _once(spark, folder, "regressed", RATED, make)
+def _regressed(spark, folder, data):
+    return content.predict(_regression(spark, folder, data), data.test)
 
 
 @query
@@ -674,6 +746,62 @@ def als_predictions(spark, folder):
     return factorise.predict(_factors(spark, folder, data), data.test)
 
 
+def _scored_rows(rows):
+    good = F.col("prediction").isNotNull() & ~F.isnan("prediction")
+    return rows.select("user_id", "item_id", F.col("rating").cast("double").alias("rating"), good.alias("scored"))
+
+
+@query
+def als_rows(spark, folder):
+    """Every test row has a prediction of the factorisation, or of what is known without it."""
+    return _scored_rows(als_predictions(spark, folder))
+
+
+@query
+def regression_rows(spark, folder):
+    return _scored_rows(content_regression(spark, folder))
+
+
+@query
+def hybrid_rows(spark, folder):
+    return _scored_rows(hybrid_predictions(spark, folder))
+
+
+@query
+def cold_start_rows(spark, folder):
+    """Test rows by whether the factorisation knows their user and their item."""
+    data = _split(spark, folder)
+    factors = _factors(spark, folder, data)
+    users = factors.users.select(F.col("id").alias("user_id"), F.lit(True).alias("u"))
+    items = factors.items.select(F.col("id").alias("item_id"), F.lit(True).alias("i"))
+    rows = data.test.join(users, "user_id", "left").join(items, "item_id", "left")
+    known = [F.coalesce(c, F.lit(False)).alias(name) for c, name in (("u", "user_known"), ("i", "item_known"))]
+    return rows.select(*known).groupBy("user_known", "item_known").agg(F.count(F.lit(1)).alias("n_rows"))
+
+
+@query
+def als_top_n_sizes(spark, folder):
+    """How many items each user with test rows is given, over how many ranks."""
+    return als_top_n(spark, folder).groupBy("user_id").agg(
+        F.countDistinct("item_id").alias("n_items"), F.max("rank").alias("last_rank")
+    )
+
+
+@query
+def recommender_report(spark, folder):
+    """Grid points and mean fold errors of the factorisation and of the regression."""
+    data = _split(spark, folder)
+    tables = {
+        "als": _factors(spark, folder, data).search(spark),
+        "regression": _regression(spark, folder, data).tuned.search(spark),
+    }
+    out = None
+    for name, rows in tables.items():
+        rows = rows.select(F.lit(name).alias("model"), "point", "params", "metric")
+        out = rows if out is None else out.unionByName(rows)
+    return out
+
+
 @query
 def als_top_n(spark, folder):
     """Ten best items for every user with test rows."""

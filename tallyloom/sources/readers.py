@@ -49,7 +49,8 @@ def read_csv(
         schema = text_schema(columns)
         if keep_corrupt:
             schema = schema.add(CORRUPT, T.StringType())
-            reader = reader.option("columnNameOfCorruptRecord", CORRUPT)
+            # With pruned columns Spark does not see how many fields a row has.
+            reader = reader.option("columnNameOfCorruptRecord", CORRUPT).option("columnPruning", False)
         reader = reader.schema(schema).option("enforceSchema", not header)
     return reader.csv(path)
 
@@ -89,18 +90,42 @@ def read_ratings(
 ) -> DataFrame:
     """Ratings file ``user, item, rating, timestamp``: BIGINT ids, half stars kept as DOUBLE.
 
-    Rows with a field that is not a number are left out.
+    Rows with a field that is not a number, or without the file's number of fields, are left out;
+    ``rejected_ratings`` has them with the reason.
     """
     raw = read_csv(
-        spark, path, ["userId", "movieId", "rating", "timestamp"], sep=sep, header=header
+        spark, path, ["userId", "movieId", "rating", "timestamp"], sep=sep, header=header, keep_corrupt=True
     )
-    return raw.select(
+    return raw.where(F.col(CORRUPT).isNull()).select(
         casts.long_or_null(F.col("userId")).alias("user_id"),
         casts.long_or_null(F.col("movieId")).alias("item_id"),
         casts.double_or_null(F.col("rating")).alias("rating"),
     ).dropna()
 
 
+def rejected_ratings(
+    spark: SparkSession, path: str | list[str], sep: str = ",", header: bool = True
+) -> DataFrame:
+    """``(reason, line)`` of the rows that ``read_ratings`` leaves out, for a second output.
+
+    ``reason`` is ``fields`` where a row has more or fewer fields than the file's columns, else the
+    first column that is not a number; ``line`` is the row as the file has it.
+    """
+    raw = read_csv(
+        spark, path, ["userId", "movieId", "rating", "timestamp"], sep=sep, header=header, keep_corrupt=True
+    )
+    numbers = {
+        "user_id": casts.long_or_null(F.col("userId")),
+        "item_id": casts.long_or_null(F.col("movieId")),
+        "rating": casts.double_or_null(F.col("rating")),
+    }
+    reason = F.when(F.col(CORRUPT).isNotNull(), "fields")
+    for name, number in numbers.items():
+        reason = reason.when(number.isNull(), name)
+    line = F.coalesce(CORRUPT, F.concat_ws(sep, *(F.coalesce(c, F.lit("")) for c in ("userId", "movieId", "rating", "timestamp"))))
+    return raw.select(reason.alias("reason"), line.alias("line")).where("reason IS NOT NULL")
+
+
 def read_items(
     spark: SparkSession, path: str | list[str], sep: str = ",", encoding: str = "UTF-8"
 ) -> DataFrame:
