@@ -3,11 +3,15 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
 
 import pyarrow as pa
 from pyspark.ml.feature import IDF, CountVectorizer, HashingTF, Imputer, VectorAssembler
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.ml.linalg import VectorUDT
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
+from tallyloom import store
+from tallyloom.functions import keys
 from tallyloom.operators import terms
 
 
@@ -53,6 +57,42 @@ def vocabulary_width(df: DataFrame, words: str) -> int:
     return max(1, terms.vocabulary_size(rows).first()[0])
 
 
+@dataclass
+class Counted:
+    """Count vectors ``(key, counts)`` of documents, and the numbers ``(term, term_id)`` of all terms."""
+
+    vectors: DataFrame
+    ids: DataFrame
+    width: int
+
+
+def count_vectors(frequencies: DataFrame, docs: DataFrame, key: str) -> Counted:
+    """Vectors over the whole vocabulary, which no single task and not the driver holds.
+
+    ``frequencies`` is a written table ``(key, term, tf)``. Terms are numbered by a distributed sort;
+    a document's vector is built from its own rows; documents without terms have an empty one. The
+    vectors are written as plain columns and read again as vectors, which Parquet does not tell apart.
+    """
+    ids = keys.dense_ids(frequencies, "term", "term_id")
+    width = ids.count()
+    entry = F.struct("term_id", F.col("tf").cast("double").alias("tf"))
+    rows = frequencies.join(ids, "term").groupBy(key).agg(F.array_sort(F.collect_list(entry)).alias("e"))
+    rows = docs.select(key).join(rows, key, "left")
+    nothing = F.array().cast("array<struct<term_id:int,tf:double>>")
+    entries = F.coalesce("e", nothing)
+    counts = F.struct(
+        F.lit(0).cast("tinyint").alias("type"),
+        F.lit(max(1, width)).cast("int").alias("size"),
+        entries["term_id"].alias("indices"),
+        entries["tf"].alias("values"),
+    )
+    plain = rows.select(key, counts.alias("counts"))
+    path = store.new_path(docs.sparkSession, "count-vectors")
+    plain.write.parquet(path)
+    schema = T.StructType([docs.schema[key], T.StructField("counts", VectorUDT())])
+    return Counted(docs.sparkSession.read.schema(schema).parquet(path), ids, max(1, width))
+
+
 def vocabulary_table(spark: SparkSession, vocabulary: Sequence[str]) -> DataFrame:
     """``(term_id, term)`` from a fitted vocabulary, which the model itself keeps on the driver."""
     ids = pa.array(range(len(vocabulary)), pa.int32())

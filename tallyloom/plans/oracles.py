@@ -416,8 +416,8 @@ FROM stats""",
     f" WHERE {_bits("'split:' || job_id")} % 100 >= 70",
     "topic_terms_covered": f"WITH {ENGLISH_WORDS} SELECT term, CAST(5 AS BIGINT) AS n_topics,"
     " TRUE AS weighted FROM (SELECT DISTINCT term FROM english_words)",
-    "doc_topic_sums": f"WITH {ENGLISH_WORDS} SELECT d.doc_id, CAST(5 AS BIGINT) AS n_topics,"
-    " CAST(d.doc_id IN (SELECT doc_id FROM english_words) AS DOUBLE) AS share_sum"
+    "doc_topic_sums": f"WITH {ENGLISH_WORDS} SELECT d.doc_id,"
+    " CAST(5 * CAST(d.doc_id IN (SELECT doc_id FROM english_words) AS INTEGER) AS BIGINT) AS n_topics, CAST(d.doc_id IN (SELECT doc_id FROM english_words) AS DOUBLE) AS share_sum"
     " FROM documents d WHERE d.lang = 'en'",
     "als_rows": f"WITH {SPLIT} SELECT user_id, item_id, CAST(rating AS DOUBLE) AS rating, TRUE AS scored FROM test",
     "regression_rows": f"WITH {SPLIT} SELECT user_id, item_id, CAST(rating AS DOUBLE) AS rating,"

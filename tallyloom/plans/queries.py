@@ -336,6 +336,11 @@ def tfidf_long(spark, folder):
     )
 
 
+def _word_frequencies(rows):
+    words = rows.select("doc_id", F.explode("words").alias("term")).where("term <> ''")
+    return terms.term_frequencies(words, "doc_id")
+
+
 def _worded(spark, folder):
     docs = inputs.texts(spark, folder, "documents", "doc_id")
     words = docs.select("doc_id", text.content_tokens(_prose()).alias("words"))
@@ -346,13 +351,12 @@ def _worded(spark, folder):
 def count_vectors(spark, folder):
     """Count vectors and their IDF weights, taken apart into long form."""
     rows = _worded(spark, folder)
-    width = features.vocabulary_width(rows, "words")
-    model = topics.fit(Pipeline(stages=features.counted_tfidf("words", "tfidf", width)), rows)
-    words = features.vocabulary_table(spark, model.stages[0].vocabulary)
-    entries = vectors.vector_rows(model.transform(rows), "doc_id", "tfidf")
-    return entries.join(words, F.col("index") == F.col("term_id")).select(
-        "doc_id", "term", F.round("value", 6).alias("tfidf")
-    )
+    tf = store.materialise(_word_frequencies(rows), "word-frequencies")
+    counted = features.count_vectors(tf, rows, "doc_id")
+    entries = vectors.vector_rows(counted.vectors, "doc_id", "counts")
+    entries = entries.join(counted.ids, F.col("index") == F.col("term_id"))
+    weighted = terms.tfidf_long(entries.select("doc_id", "term", F.col("value").alias("tf")), rows)
+    return weighted.select("doc_id", "term", F.round("tfidf", 6).alias("tfidf"))
 
 
 @query
@@ -633,17 +637,34 @@ def _counts_pipeline(docs):
 
 
 def _count_topics(spark, folder):
+    """The topics as a table, and the word frequencies they were learned from."""
+
     def make():
         docs = _english_words(spark, folder)
-        return topics.fit(_counts_pipeline(docs), docs)
+        tf = store.materialise(_word_frequencies(docs), "word-frequencies")
+        return topics.fit_table(features.count_vectors(tf, docs, "doc_id")), tf
 
     return _once(spark, folder, "count-topics", ["documents"], make)
 
 
+def _topic_pipeline(spark, folder):
+    """The same as an MLlib pipeline, saved before its fit and after it, and loaded again."""
+
+    def make():
+        docs = _english_words(spark, folder)
+        path = store.new_path(spark, "topic-model")
+        writers.save_estimator(_counts_pipeline(docs), f"{path}/estimator")
+        fitted = topics.fit(writers.load_estimator(f"{path}/estimator"), docs)
+        writers.save_model(fitted, f"{path}/model")
+        return writers.load_model(f"{path}/model")
+
+    return _once(spark, folder, "topic-pipeline", ["documents"], make)
+
+
 @query
 def topic_terms_covered(spark, folder):
     """The terms of the topics matrix: each has a weight of 0 or more in every topic."""
-    rows = topics.topic_words(_count_topics(spark, folder))
+    rows = topics.table_words(_count_topics(spark, folder)[0])
     return rows.groupBy("term").agg(
         F.countDistinct("topic").alias("n_topics"), (F.min("weight") >= 0).alias("weighted")
     )
@@ -651,24 +672,28 @@ def topic_terms_covered(spark, folder):
 
 @query
 def doc_topic_sums(spark, folder):
-    """Number and sum of the topic shares of each English document; without words the sum is 0."""
-    docs = _english_words(spark, folder)
-    shares = topics.doc_topics(_count_topics(spark, folder), docs, "doc_id")
-    return shares.groupBy("doc_id").agg(
-        F.count(F.lit(1)).alias("n_topics"), F.round(F.sum("weight"), 6).alias("share_sum")
+    """Number and sum of the topic shares of each English document; both are 0 without words."""
+    table, tf = _count_topics(spark, folder)
+    shares = topics.fold_in(table, tf, "doc_id").groupBy("doc_id").agg(
+        F.count(F.lit(1)).alias("n"), F.round(F.sum("weight"), 6).alias("s")
+    )
+    docs = language.keep_language(inputs.tweets(spark, folder)).select("doc_id")
+    return docs.join(shares, "doc_id", "left").select(
+        "doc_id",
+        F.coalesce("n", F.lit(0).cast("long")).alias("n_topics"),
+        F.coalesce("s", F.lit(0.0)).alias("share_sum"),
     )
 
 
 @query
 def topic_report(spark, folder):
     """Parameters of the topic model's stages."""
-    return topics.report(_count_topics(spark, folder))
+    return topics.report(_topic_pipeline(spark, folder))
 
 
 @query
 def topics_counts(spark, folder):
-    model = _count_topics(spark, folder)
-    return topics.topic_words(model, 100)
+    return topics.table_words(_count_topics(spark, folder)[0], 100)
 
 
 @query
@@ -679,26 +704,20 @@ def topics_tfidf(spark, folder):
 
 @query
 def topic_word_lists(spark, folder):
-    model = _count_topics(spark, folder)
-    return topics.topic_word_lists(model, 100)
+    return topics.word_lists(topics.table_words(_count_topics(spark, folder)[0], 100))
 
 
 @query
 def topic_matrix(spark, folder):
     """Every term's weight in every topic."""
-    model = _count_topics(spark, folder)
-    return topics.topic_words(model)
+    return topics.table_words(_count_topics(spark, folder)[0])
 
 
 @query
 def doc_topics(spark, folder):
     """Topic shares per document from a model that was saved and loaded again."""
     docs = _english_words(spark, folder)
-    path = store.new_path(spark, "topic-model")
-    writers.save_estimator(_counts_pipeline(docs), f"{path}/estimator")
-    fitted = topics.fit(writers.load_estimator(f"{path}/estimator"), docs)
-    writers.save_model(fitted, f"{path}/model")
-    return topics.doc_topics(writers.load_model(f"{path}/model"), docs, "doc_id")
+    return topics.doc_topics(_topic_pipeline(spark, folder), docs, "doc_id")
 
 
 def _labelled(spark, folder):
