@@ -16,16 +16,19 @@ exactly 0.8 has no equal band in 2 of 10^9 cases.
 
 *Estimate.* The share of equal registers among the buckets that either node fills, corrected for
 registers that are equal by accident (compressed ones are, at a rate that depends on both sizes).
-Pairs are left out only where the estimate is ``DEVIATIONS`` standard deviations below the limit.
+The buckets' smallest hashes are a sample, without replacement, of the union of both sets. Pairs are
+left out only where the estimate is ``DEVIATIONS`` standard deviations of such a sample below the
+limit.
 
 *Verification* counts the intersection of the full sets.
 
-*Order of work.* A bucket of a band is never compared pair by pair. First each of its nodes is
-compared with the smallest one, and links found join nodes into components. Then every node outside
-a bucket's largest component is compared with all nodes of other components in that bucket, in
-blocks, first with the likeliest ones (``STEPS`` partners of each node in each bucket), in the end
-with all. Steps end where none of them left a partner out. So a group of copies costs one comparison
-a copy, and no link is left out.
+*Order of work.* First each node of a band's bucket is compared with the smallest one there, and links
+found join nodes into components; so a group of copies costs one comparison a copy. What is left to
+compare are nodes of different components in one bucket. Buckets of at most ``FEW`` nodes give these
+pairs as rows. Larger ones, which hold a group of like texts, are put together where they share
+nodes, and each node outside the largest component is compared with all others of the group, in
+cells of ``BLOCK`` nodes and ``ASKED`` questions, whose tasks hold the full sets: they give links, at
+most one a question and component, and no pairs. No link is left out.
 
 Texts without a word, NULL and empty ones, have an empty set, ``n_shingles`` 0, and are a component
 each; if such rows repeat an id they share it. NULL ids never name a component that has another id;
@@ -55,12 +58,12 @@ MANTISSA = 10
 ROWS = 5
 BANDS = BUCKETS // ROWS
 DEVIATIONS = 5
-STEPS = (4, 64, None)
-BLOCK = 4096
+FEW = 64
+BLOCK, ASKED = 1024, 256
 PAIRS = 256
 KNOWN, KNOWN_BYTES = 100_000, 48
-BUFFER_BYTES = 32_000_000
-LEFT_OUT = -1
+BUFFER_BYTES = 16_000_000
+FEWEST_BITS, MOST_BITS = 1 << 20, 1 << 26
 _BUCKET_BITS = BUCKETS.bit_length() - 1
 #: Chance that two registers of one bucket are equal though their hashes are not, for sets of equal
 #: size times 4: the mean width of a register's cell against its place, 1 / (2 ln 2).
@@ -156,7 +159,9 @@ def likely(sketches: np.ndarray, sizes: np.ndarray, sketch: np.ndarray, size) ->
     accident = ACCIDENT * sizes * size / (sizes + size) ** 2
     estimate = (equal / np.maximum(either, 1) - accident) / (1 - accident)
     least = LEAST / 100
-    slack = DEVIATIONS * np.sqrt(least * (1 - least) / np.maximum(either, 1))
+    union = np.maximum((sizes + size) / (1 + least), either + 1)  # at the limit
+    spread = least * (1 - least) / np.maximum(either, 1) * (union - either) / (union - 1)
+    slack = DEVIATIONS * np.sqrt(spread) + 1 / np.maximum(either, 1)
     low, high = np.minimum(sizes, size), np.maximum(sizes, size)
     return estimate, (estimate >= least - slack) & (100 * low >= LEAST * high)
 
@@ -191,22 +196,49 @@ def sketched(docs: DataFrame, words: int = WORDS) -> DataFrame:
 
 
 def _full_sets(docs: DataFrame, wanted: DataFrame, words: int) -> DataFrame:
-    """node, hashes: the sets of the nodes wanted, each read from one of its documents."""
+    """digest, hashes: the sets of the documents whose ids are in ``wanted`` (first), and a few more.
+
+    The ids reach the tasks as a table of at most ``MOST_BITS`` bits, so texts are not shuffled. Of
+    copies a task gives the set once, as far as it remembers; more do no harm.
+    """
+    size = min(MOST_BITS, max(FEWEST_BITS, 1 << (8 * wanted.count()).bit_length()))
+    place = F.pmod(F.xxhash64("first"), F.lit(size))
+    bits = wanted.groupBy(F.floor(place / 64).alias("word")).agg(
+        F.bit_or(F.call_function("shiftleft", F.lit(1).cast("long"), (place % 64).cast("int"))).alias("bits")
+    )
+    found = bits.toArrow()
+    table = np.zeros(size // 64, np.uint64)
+    table[found.column("word").to_numpy()] = found.column("bits").to_numpy().view(np.uint64)
 
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        shingles = Shingles(words)
+        shingles, seen = Shingles(words), set()
         for batch in batches:
-            sets = [shingles.of(text.as_py()) for text in batch.column(0)]
-            nodes = pa.array([digest(s) for s in sets], pa.binary())
-            yield pa.RecordBatch.from_arrays(
-                [nodes, pa.array([s.tobytes() for s in sets], pa.binary())], ["digest", "hashes"]
-            )
+            at = batch.column(0).to_numpy().astype(np.uint64)
+            named = table[(at >> np.uint64(6)).astype(np.int64)] >> (at & np.uint64(63)) & np.uint64(1)
+            digests, sets, held = [], [], 0
+            for text in batch.column(1).filter(pa.array(named.astype(bool))):
+                found = shingles.of(text.as_py())
+                key = digest(found)
+                if key in seen:
+                    continue
+                if len(seen) >= KNOWN:
+                    seen.clear()
+                seen.add(key)
+                digests.append(key)
+                sets.append(found.tobytes())
+                held += len(sets[-1])
+                if held > BUFFER_BYTES // 8:
+                    yield _sets(digests, sets)
+                    digests, sets, held = [], [], 0
+            yield _sets(digests, sets)
 
-    ids = wanted.select(F.col("first").alias("doc_id")).distinct()
     rows = common.take(docs, "doc_id", "text")
-    rows = rows.join(ids, rows["doc_id"].eqNullSafe(ids["doc_id"]), "left_semi").select("text")
-    made = rows.mapInArrow(make, "digest binary, hashes binary").join(wanted, "digest")
-    return made.groupBy("node").agg(F.first("hashes").alias("hashes"))
+    rows = rows.select(F.pmod(F.xxhash64("doc_id"), F.lit(size)).alias("place"), "text")
+    return rows.mapInArrow(make, "digest binary, hashes binary")
+
+
+def _sets(digests: list[bytes], sets: list[bytes]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(digests, pa.binary()), pa.array(sets, pa.binary())], ["digest", "hashes"])
 
 
 def _runs(batches: Iterator[pa.RecordBatch], keys: int) -> Iterator[pa.Table]:
@@ -236,7 +268,7 @@ def _sketches(column) -> np.ndarray:
     return np.frombuffer(b"".join(column.to_pylist()), "<u2").reshape(-1, BUCKETS)
 
 
-def _confirmed(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+def _confirmed(docs: DataFrame, pairs: DataFrame, nodes: DataFrame, words: int) -> DataFrame:
     """u, v: those pairs whose full sets are similar enough.
 
     Rows meet by u, ``PAIRS`` of them at a time: the set of u goes once to each such group, that of
@@ -244,12 +276,15 @@ def _confirmed(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     """
     part = F.pmod(F.xxhash64("v"), F.ceil(F.col("n") / PAIRS)).alias("part")
     counted = store.materialise(pairs.groupBy("u").agg(F.count(F.lit(1)).alias("n")), "pair-counts")
-    asked = counted.select("u", F.explode(F.sequence(F.lit(0).cast("long"), F.ceil(F.col("n") / PAIRS) - 1)).alias("part"))
-    asked = asked.join(sets, F.col("u") == sets["node"]).select("u", "part", F.lit(None).cast("long").alias("v"), "hashes")
-    answers = pairs.join(counted, "u").select("u", part, "v")
-    answers = answers.join(sets, F.col("v") == sets["node"]).select("u", "part", "v", "hashes")
+    parts = F.explode(F.sequence(F.lit(0).cast("long"), F.ceil(F.col("n") / PAIRS) - 1)).alias("part")
+    asked = counted.select(F.col("u").alias("node"), "u", parts, F.lit(None).cast("long").alias("v"))
+    answers = pairs.join(counted, "u").select(F.col("v").alias("node"), "u", part, "v")
+    roles = asked.unionByName(answers).join(nodes.select("node", "digest", "first"), "node")
+    roles = store.materialise(roles.select("digest", "first", "u", "part", "v"), "roles")
+    sets = _full_sets(docs, roles.select("first").distinct(), words)
     keys = ["u", "part"]
-    rows = asked.unionByName(answers).repartition(*keys).sortWithinPartitions(*keys, F.col("v").asc_nulls_first())
+    rows = sets.join(roles.drop("first"), "digest").select("u", "part", "v", "hashes")
+    rows = rows.repartition(*keys).sortWithinPartitions(*keys, F.col("v").asc_nulls_first())
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         now, own = None, np.empty(0, np.uint64)
@@ -262,8 +297,7 @@ def _confirmed(pairs: DataFrame, sets: DataFrame) -> DataFrame:
                     continue
                 if (u.as_py(), p.as_py()) != now:
                     raise ValueError(f"the set of node {u} is missing")
-                both = len(np.intersect1d(own, found, assume_unique=True))
-                if 100 * both >= LEAST * (len(own) + len(found) - both):
+                if _alike(own, found):
                     found_u.append(u.as_py())
                     found_v.append(v.as_py())
             yield _pairs(np.array(found_u, np.int64), np.array(found_v, np.int64))
@@ -299,49 +333,129 @@ def _labelled(links: list[DataFrame]) -> DataFrame:
 
 
 def _open(held: DataFrame, labels: DataFrame) -> DataFrame:
-    """key, node, label, asked, size: the buckets of three nodes and more in several components.
+    """key, node, label, size, asked: the buckets of three nodes and more in several components.
 
     ``asked`` marks the nodes outside the bucket's largest component. Two nodes were compared first.
     """
     rows = held.join(labels, "node", "left").select("key", "node", F.coalesce("label", "node").alias("label"))
-    rows = store.materialise(rows, "labelled")
-    counts = rows.groupBy("key", "label").agg(F.count(F.lit(1)).alias("n"))
-    largest = counts.groupBy("key").agg(
+    return _asked(store.materialise(rows, "labelled"), "key").where("size > 2")
+
+
+def _asked(rows: DataFrame, group: str) -> DataFrame:
+    """``rows`` (group, node, label) of the groups with several labels, with size and asked; written."""
+    counts = rows.groupBy(group, "label").agg(F.count(F.lit(1)).alias("n"))
+    largest = counts.groupBy(group).agg(
         F.max(F.struct("n", "label")).alias("top"), F.sum("n").alias("size"), F.count(F.lit(1)).alias("labels")
     )
-    largest = store.materialise(largest.where("labels > 1 AND size > 2").select("key", "size", F.col("top.label").alias("top")), "open")
-    return rows.join(largest, "key").select("key", "node", "label", "size", (F.col("label") != F.col("top")).alias("asked"))
-
-
-def _proposed(rows: DataFrame, nodes: DataFrame, most: int | None) -> DataFrame:
-    """u, v: for each asked node its ``most`` likeliest partners of another component in each block
-    of each of its buckets, or all that are not surely below the limit. Where there are more, v is
-    ``LEFT_OUT`` in a further row."""
-    rows = rows.join(nodes.select("node", "n", "sketch"), "node")
-    blocks = F.ceil(F.col("size") / BLOCK)
-    rows = rows.withColumns({"mine": F.pmod(F.xxhash64("node"), blocks), "all": F.sequence(F.lit(0).cast("long"), blocks - 1)})
-    columns = ["node", "label", "n", "sketch"]
-    queries = rows.where("asked").select("key", F.col("mine").alias("a"), F.explode("all").alias("b"), F.lit(0).alias("side"), *columns)
-    answers = rows.select("key", F.explode("all").alias("a"), F.col("mine").alias("b"), F.lit(1).alias("side"), *columns)
-    groups = ["key", "a", "b"]
-    met = queries.unionByName(answers).repartition(*groups).sortWithinPartitions(*groups, "side")
+    largest = largest.where("labels > 1").select(group, "size", F.col("top.label").alias("top"))
+    largest = store.materialise(largest, "open")
+    marked = rows.join(largest, group).withColumn("asked", F.col("label") != F.col("top")).drop("top")
+    return store.materialise(marked, "open-rows")
+
+
+def _proposed(rows: DataFrame, nodes: DataFrame) -> DataFrame:
+    """u, v: each asked node with the nodes of other components in its bucket that it is not surely
+    unlike. For buckets of few nodes."""
+    met = rows.join(nodes.select("node", "n", "sketch"), "node").select("key", "node", "label", "asked", "n", "sketch")
 
     def propose(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for table in _runs(batches, 3):
-            side, node, label, size = (table.column(c).to_numpy() for c in ("side", "node", "label", "n"))
-            sketch, starts = _sketches(table.column("sketch")), _starts(table, 3)
+        for table in _runs(batches, 1):
+            node, label, size = (table.column(c).to_numpy() for c in ("node", "label", "n"))
+            asked = np.array(table.column("asked").to_pylist(), bool)
+            sketch, starts = _sketches(table.column("sketch")), _starts(table, 1)
+            found_u, found_v = [], []
             for a, b in zip(starts, [*starts[1:], len(table)]):
-                split = a + int((side[a:b] == 0).sum())
-                for q in range(a, split if split < b else a):
-                    estimate, near = likely(sketch[split:b], size[split:b], sketch[q], size[q])
-                    found = np.flatnonzero(near & (label[split:b] != label[q]))
-                    if most is not None and len(found) > most:
-                        found = found[np.argsort(-estimate[found], kind="stable")[:most]]
-                        yield _pairs(node[q : q + 1], np.array([LEFT_OUT]))
-                    if len(found):
-                        yield _pairs(np.repeat(node[q], len(found)), node[split + found])
+                for q in (a + np.flatnonzero(asked[a:b])).tolist():
+                    _, near = likely(sketch[a:b], size[a:b], sketch[q], size[q])
+                    found = a + np.flatnonzero(near & (label[a:b] != label[q]))
+                    found_u.append(np.repeat(node[q], len(found)))
+                    found_v.append(node[found])
+            if found_u:
+                yield _pairs(np.concatenate(found_u), np.concatenate(found_v))
+
+    return met.repartition("key").sortWithinPartitions("key").mapInArrow(propose, "u long, v long")
+
+
+def _group_links(docs: DataFrame, rows: DataFrame, nodes: DataFrame, words: int) -> DataFrame:
+    """u, v: links between components of groups of large buckets, which share nodes or not at all."""
+    least = store.materialise(rows.groupBy("key").agg(F.min("node").alias("least")), "least-nodes")
+    edges = rows.join(least, "key").select(F.col("least").alias("u"), F.col("node").alias("v"))
+    grouped = components(edges).select("node", F.col("root").alias("group"))
+    members = rows.select("node", "label").distinct().join(grouped, "node", "left")
+    members = members.select(F.coalesce("group", "node").alias("group"), "node", "label")
+    members = _asked(store.materialise(members, "members"), "group")
+    asked = members.groupBy("group").agg(F.count_if("asked").alias("questions"))
+    asked = store.materialise(asked, "questions")
+    blocks, parts = F.ceil(F.col("size") / BLOCK), F.ceil(F.col("questions") / ASKED)
+    placed = members.join(asked, "group").join(nodes.select("node", "digest", "first", "n", "sketch"), "node")
+    placed = placed.withColumns(
+        {
+            "block": F.pmod(F.xxhash64("node"), blocks),
+            "part": F.pmod(F.xxhash64("node", F.lit(1)), parts),
+            "blocks": F.sequence(F.lit(0).cast("long"), blocks - 1),
+            "parts": F.sequence(F.lit(0).cast("long"), parts - 1),
+        }
+    )
+    placed = store.materialise(placed, "placed")
+    sets = _full_sets(docs, placed.select("first").distinct(), words)
+    rows = sets.join(placed.drop("first"), "digest")
+    cell, columns = ["group", "block", "part"], ["node", "label", "n", "sketch", "hashes"]
+    questions = rows.where("asked").select("group", F.explode("blocks").alias("block"), "part", F.lit(0).alias("side"), *columns)
+    answers = rows.select("group", "block", F.explode("parts").alias("part"), F.lit(1).alias("side"), *columns)
+    met = questions.unionByName(answers).repartition(*cell).sortWithinPartitions(*cell, "side")
+
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, held = None, Questions()
+        for batch in batches:
+            cells = list(zip(*(batch.column(i).to_pylist() for i in range(3))))
+            side, node, label, size = (batch.column(i).to_numpy() for i in range(3, 7))
+            found_u, found_v = [], []
+            for row, cell in enumerate(cells):
+                if cell != now:
+                    now, held = cell, Questions()
+                sketch = np.frombuffer(batch.column(7)[row].as_buffer(), "<u2")
+                hashes = np.frombuffer(batch.column(8)[row].as_buffer(), "<u8")
+                if side[row] == 0:
+                    held.add(node[row], label[row], sketch, hashes)
+                    continue
+                for u in held.links(label[row], int(size[row]), sketch, hashes):
+                    found_u.append(u)
+                    found_v.append(node[row])
+            yield _pairs(np.array(found_u, np.int64), np.array(found_v, np.int64))
+
+    return met.mapInArrow(compare, "u long, v long")
+
+
+class Questions:
+    """The asked nodes of a cell. A question and a component are linked once."""
+
+    def __init__(self) -> None:
+        self.rows: list[tuple] = []
+        self.linked: set[tuple[int, int]] = set()
+        self.table: tuple | None = None
+
+    def add(self, node, label, sketch: np.ndarray, hashes: np.ndarray) -> None:
+        self.rows.append((node, label, sketch.copy(), hashes.copy()))
+
+    def links(self, label, size: int, sketch: np.ndarray, hashes: np.ndarray) -> Iterator[int]:
+        """The questions that a node of the component ``label`` answers."""
+        if not self.rows:
+            return
+        if self.table is None:
+            node, labels, sketches, sets = zip(*self.rows)
+            self.table = np.array(labels), np.array(sketches), np.array([len(s) for s in sets])
+        labels, sketches, sizes = self.table
+        _, near = likely(sketches, sizes, sketch, size)
+        for i in np.flatnonzero(near & (labels != label)).tolist():
+            node, own, _, mine = self.rows[i]
+            if (node, label) not in self.linked and _alike(mine, hashes):
+                self.linked.add((node, label))
+                yield node
+
 
-    return met.mapInArrow(propose, "u long, v long")
+def _alike(one: np.ndarray, two: np.ndarray) -> bool:
+    both = len(np.intersect1d(one, two, assume_unique=True))
+    return 100 * both >= LEAST * (len(one) + len(two) - both)
 
 
 def _ordered(pairs: DataFrame) -> DataFrame:
@@ -367,22 +481,20 @@ def labels(docs: DataFrame, nodes: DataFrame, words: int = WORDS) -> DataFrame:
     held = store.materialise(placed.join(shared, "key"), "band-rows")
     met = nodes.join(held.select("node").distinct(), "node", "left_semi")
     met = store.materialise(met.select("node", "digest", "first", "n", "sketch"), "met-nodes")
-    sets = store.materialise(_full_sets(docs, met.select("node", "digest", "first"), words), "full-sets")
 
     pairs = held.where("node != least").select(F.col("least").alias("u"), F.col("node").alias("v")).distinct()
     pairs = store.materialise(_estimated(pairs, met), "pairs")
-    links = [store.materialise(_confirmed(pairs, sets), "links")]
+    links = [store.materialise(_confirmed(docs, pairs, met, words), "links")]
     marked = _labelled(links)
-    for most in STEPS:
-        proposed = store.materialise(_proposed(_open(held, marked), met, most), "proposed")
-        pairs = store.materialise(_ordered(proposed.where(F.col("v") != LEFT_OUT)), "pairs")
-        if pairs.isEmpty():
-            break
-        links.append(store.materialise(_confirmed(pairs, sets), "links"))
-        if not links[-1].isEmpty():
-            marked = _labelled(links)
-        if proposed.where(F.col("v") == LEFT_OUT).isEmpty():
-            break
+    rows = _open(held, marked)
+    pairs = store.materialise(_ordered(_proposed(rows.where(F.col("size") <= FEW), met)), "pairs")
+    if not pairs.isEmpty():
+        links.append(store.materialise(_confirmed(docs, pairs, met, words), "links"))
+    large = rows.where(F.col("size") > FEW)
+    if not large.isEmpty():
+        links.append(store.materialise(_group_links(docs, large, met, words), "links"))
+    if any(not more.isEmpty() for more in links[1:]):
+        marked = _labelled(links)
     return marked
 
 

@@ -115,15 +115,17 @@ def test_groups_of_copies_and_chains(spark, odd):
     assert got(minhash.near_duplicates(docs)) == sorted(brute(rows), key=repr)
 
 
-def test_steps_and_blocks_lose_nothing(spark, odd, monkeypatch):
-    """Small blocks and one partner a step give what whole buckets give."""
+@pytest.mark.parametrize("few", [2, 10, 64])
+def test_large_buckets_and_cells_lose_nothing(spark, odd, monkeypatch, few):
+    """Groups of large buckets in many small cells give what pairs of small ones give."""
     rng = random.Random(6)
     base = [f"w{i}" for i in range(60)]
     rows = list(enumerate(varied(rng, base, rng.randrange(0, 8)) for _ in range(80)))
     docs = spark.createDataFrame(rows, "doc_id long, text string")
     monkeypatch.setattr(minhash, "BLOCK", 7)
     monkeypatch.setattr(minhash, "PAIRS", 3)
-    monkeypatch.setattr(minhash, "STEPS", (1, None))
+    monkeypatch.setattr(minhash, "FEW", few)
+    monkeypatch.setattr(minhash, "ASKED", 5)
     assert got(minhash.near_duplicates(docs)) == sorted(brute(rows), key=repr)
 
 
