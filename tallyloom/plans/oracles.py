@@ -411,9 +411,11 @@ FROM stats""",
     " ELSE CAST(rating AS DOUBLE) END AS rating FROM dirty WHERE kind IN ('good', 'comma')",
     "rejected_ratings": f"WITH {RATINGS}, {DIRTY} SELECT kind AS reason, count(*) AS n_rows,"
     " count(DISTINCT line) AS n_lines FROM dirty WHERE kind NOT IN ('good', 'comma') GROUP BY 1",
-    "classified_rows": f"WITH {VALID} SELECT model, job_id, CAST(fraudulent AS DOUBLE) AS label, TRUE AS classed"
-    " FROM valid CROSS JOIN (SELECT unnest(['logistic', 'svc', 'forest', 'mlp']) AS model)"
-    f" WHERE {_bits("'split:' || job_id")} % 100 >= 70",
+    **{
+        f"{name}_rows": f"WITH {VALID} SELECT job_id, CAST(fraudulent AS DOUBLE) AS label, TRUE AS classed"
+        f" FROM valid WHERE {_bits("'split:' || job_id")} % 100 >= 70"
+        for name in ("logistic", "svc", "forest", "mlp")
+    },
     "topic_terms_covered": f"WITH {ENGLISH_WORDS} SELECT term, CAST(5 AS BIGINT) AS n_topics,"
     " TRUE AS weighted FROM (SELECT DISTINCT term FROM english_words)",
     "doc_topic_sums": f"WITH {ENGLISH_WORDS} SELECT d.doc_id,"

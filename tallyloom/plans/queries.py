@@ -612,15 +612,30 @@ def model_report(spark, folder):
     return classify.report([_trained(spark, folder, n) for n in ("mlp", "logistic", "svc", "forest")])
 
 
+def _rows_of(spark, folder, name):
+    """Which rows a learner scored, with their labels, and whether it gave a class."""
+    rows = _trained(spark, folder, name).scored
+    return rows.select("job_id", "label", F.col("prediction").isin(0.0, 1.0).alias("classed"))
+
+
 @query
-def classified_rows(spark, folder):
-    """Which rows each learner scored, with their labels, and whether it gave a class."""
-    out = None
-    for name in ("logistic", "svc", "forest", "mlp"):
-        rows = _trained(spark, folder, name).scored
-        rows = rows.select(F.lit(name).alias("model"), "job_id", "label", F.col("prediction").isin(0.0, 1.0).alias("classed"))
-        out = rows if out is None else out.unionByName(rows)
-    return out
+def logistic_rows(spark, folder):
+    return _rows_of(spark, folder, "logistic")
+
+
+@query
+def svc_rows(spark, folder):
+    return _rows_of(spark, folder, "svc")
+
+
+@query
+def forest_rows(spark, folder):
+    return _rows_of(spark, folder, "forest")
+
+
+@query
+def mlp_rows(spark, folder):
+    return _rows_of(spark, folder, "mlp")
 
 
 # --- topics --------------------------------------------------------------------------
