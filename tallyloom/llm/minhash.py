@@ -25,8 +25,8 @@ limit.
 *Order of work.* First each node of a band's bucket is compared with the smallest one there, and links
 found join nodes into components; so a group of copies costs one comparison a copy. What is left to
 compare are nodes of different components in one bucket. Buckets of at most ``FEW`` nodes give these
-pairs as rows. Larger ones, which hold a group of like texts, are put together where they share
-nodes, and each node outside the largest component is compared with all others of the group, in
+pairs as rows. Larger ones, which hold a group of like texts, are put together by their largest
+component, and each node outside it is compared with all others of the group, in
 cells of ``BLOCK`` nodes and ``ASKED`` questions, whose tasks hold the full sets: they give links, at
 most one a question and component, and no pairs. No link is left out.
 
@@ -324,12 +324,24 @@ def _estimated(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
     return rows.mapInArrow(compare, "u long, v long")
 
 
-def _labelled(links: list[DataFrame]) -> DataFrame:
-    """node, label: the smallest node of each node's component so far, for nodes with a link."""
+def _labelled(links: DataFrame) -> DataFrame:
+    """node, label: the smallest node of each node's component, for nodes with a smaller one."""
+    return store.materialise(components(links).select("node", F.col("root").alias("label")), "labels")
+
+
+def _joined(marked: DataFrame, links: list[DataFrame]) -> DataFrame:
+    """The same after further links, which only the labels need to follow."""
     found = links[0]
     for more in links[1:]:
         found = found.unionByName(more)
-    return store.materialise(components(found).select("node", F.col("root").alias("label")), "labels")
+    for end in ("u", "v"):
+        named = marked.select(F.col("node").alias(end), F.col("label").alias("root"))
+        found = found.join(named, end, "left").withColumn(end, F.coalesce("root", end)).drop("root")
+    above = _labelled(found.select("u", "v"))
+    moved = marked.join(above.select(F.col("node").alias("label"), F.col("label").alias("root")), "label", "left")
+    moved = moved.select("node", F.coalesce("root", "label").alias("label"))
+    # Labels that moved were smallest nodes before, and so stand in no row of the table.
+    return store.materialise(moved.unionByName(above.select("node", "label")), "labels")
 
 
 def _open(held: DataFrame, labels: DataFrame) -> DataFrame:
@@ -342,14 +354,15 @@ def _open(held: DataFrame, labels: DataFrame) -> DataFrame:
 
 
 def _asked(rows: DataFrame, group: str) -> DataFrame:
-    """``rows`` (group, node, label) of the groups with several labels, with size and asked; written."""
+    """``rows`` (group, node, label) of the groups with several labels, with size, top (the label of
+    most of the group) and asked; written."""
     counts = rows.groupBy(group, "label").agg(F.count(F.lit(1)).alias("n"))
     largest = counts.groupBy(group).agg(
         F.max(F.struct("n", "label")).alias("top"), F.sum("n").alias("size"), F.count(F.lit(1)).alias("labels")
     )
     largest = largest.where("labels > 1").select(group, "size", F.col("top.label").alias("top"))
     largest = store.materialise(largest, "open")
-    marked = rows.join(largest, group).withColumn("asked", F.col("label") != F.col("top")).drop("top")
+    marked = rows.join(largest, group).withColumn("asked", F.col("label") != F.col("top"))
     return store.materialise(marked, "open-rows")
 
 
@@ -377,12 +390,8 @@ def _proposed(rows: DataFrame, nodes: DataFrame) -> DataFrame:
 
 
 def _group_links(docs: DataFrame, rows: DataFrame, nodes: DataFrame, words: int) -> DataFrame:
-    """u, v: links between components of groups of large buckets, which share nodes or not at all."""
-    least = store.materialise(rows.groupBy("key").agg(F.min("node").alias("least")), "least-nodes")
-    edges = rows.join(least, "key").select(F.col("least").alias("u"), F.col("node").alias("v"))
-    grouped = components(edges).select("node", F.col("root").alias("group"))
-    members = rows.select("node", "label").distinct().join(grouped, "node", "left")
-    members = members.select(F.coalesce("group", "node").alias("group"), "node", "label")
+    """u, v: links between components of groups of large buckets."""
+    members = rows.select(F.col("top").alias("group"), "node", "label").distinct()
     members = _asked(store.materialise(members, "members"), "group")
     asked = members.groupBy("group").agg(F.count_if("asked").alias("questions"))
     asked = store.materialise(asked, "questions")
@@ -484,17 +493,18 @@ def labels(docs: DataFrame, nodes: DataFrame, words: int = WORDS) -> DataFrame:
 
     pairs = held.where("node != least").select(F.col("least").alias("u"), F.col("node").alias("v")).distinct()
     pairs = store.materialise(_estimated(pairs, met), "pairs")
-    links = [store.materialise(_confirmed(docs, pairs, met, words), "links")]
-    marked = _labelled(links)
-    rows = _open(held, marked)
-    pairs = store.materialise(_ordered(_proposed(rows.where(F.col("size") <= FEW), met)), "pairs")
-    if not pairs.isEmpty():
-        links.append(store.materialise(_confirmed(docs, pairs, met, words), "links"))
+    marked = _labelled(store.materialise(_confirmed(docs, pairs, met, words), "links"))
+    rows = _open(held.select("key", "node"), marked)
+    few = store.materialise(_ordered(_proposed(rows.where(F.col("size") <= FEW), met)), "pairs")
     large = rows.where(F.col("size") > FEW)
+    links = []
+    if not few.isEmpty():
+        links.append(store.materialise(_confirmed(docs, few, met, words), "links"))
     if not large.isEmpty():
         links.append(store.materialise(_group_links(docs, large, met, words), "links"))
-    if any(not more.isEmpty() for more in links[1:]):
-        marked = _labelled(links)
+    links = [more for more in links if not more.isEmpty()]
+    if links:
+        marked = _joined(marked, links)
     return marked
 
 
