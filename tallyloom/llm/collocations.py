@@ -7,16 +7,19 @@ and tabs. Everything is counted per language, over all contiguous occurrences wi
 
 1. A sample of documents (``SHARE``, by hash) is counted at a lowered threshold. Its frequent words
    and pairs are the proposals.
-2. A pass over all documents counts exactly the proposals and their negative border, the phrases
-   that are not proposed while all their shorter parts are: every word, every pair of proposed
-   words, every triple of proposed pairs. Only border phrases that occur are ever held.
+2. A pass over all documents counts the proposals and their negative border, the phrases that are not
+   proposed while all their shorter parts are: every word, every pair of proposed words, every triple
+   of proposed pairs. Only border phrases that occur are ever held. This pass counts 64-bit hashes of
+   phrases, which are cheaper to group than text; a hash that two phrases share only seems frequent.
 3. A border phrase that turns out frequent is a failure of the sample: phrases made of it were not
-   counted. Then the proposals become all phrases now known to be frequent, and a further pass
-   counts what their border adds. Passes go on until the border holds no frequent phrase.
-
-The proposals reach the tasks as bit tables of at most ``MOST_BITS`` bits, whatever the size of the
-corpus. A phrase that shares its bit with a proposal is counted too, always or never, so counts are
-exact in any case; a full table costs shuffle and nothing else. Tasks count blocks of ``BLOCK``
+   counted. The next pass counts, as text and exactly, all phrases found frequent, and what failures
+   add to the border: pairs of frequent words that were not counted, and triples of pairs that are
+   frequent or among those. As it takes those pairs for proposals before their counts are known, its
+   border holds no phrase that a further pass would have to extend: it is closed.
+
+Sets of phrases reach the tasks as bit tables of at most ``MOST_BITS`` bits, whatever the size of the
+corpus. A phrase that shares its bit with one of them is counted too, always or never, so counts are
+exact in any case; a full table costs shuffle and nothing else. Tasks count blocks of about ``BLOCK``
 words before anything is shuffled, so a phrase found everywhere leaves each block once.
 
 *Scores* use decimals, as products of counts may pass 64 bits (counts up to 10^15).
@@ -30,6 +33,7 @@ the input are not looked at.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -47,12 +51,13 @@ FIRST = 2000
 INSIDE = 50
 SEPARATORS = b".,;:!?\n\x0b\x0c\r"
 UNKNOWN = "und"
-BLOCK = 1_000_000
+BLOCK, PART = 2_000_000, 250_000
 FEWEST_BITS, MOST_BITS = 1 << 20, 1 << 26
 #: A byte that no UTF-8 text has; as a token it stands between pieces.
 BREAK = b"\xff"
 _CUT = bytes.maketrans(SEPARATORS, BREAK * len(SEPARATORS))
 _ID_BITS = 21
+_IDS = (1 << _ID_BITS) - PART - 3
 
 
 class Numbers(dict):
@@ -85,23 +90,33 @@ class Bits:
     def __init__(self, words: np.ndarray):
         self.words = words
 
-    def __contains__(self, found: np.ndarray) -> bool:
-        return bool(self.has(found).all())
-
     def has(self, found: np.ndarray) -> np.ndarray:
-        place = found % np.uint64(64 * len(self.words))
+        place = found & np.uint64(64 * len(self.words) - 1)
         return (self.words[(place >> np.uint64(6)).astype(np.int64)] >> (place & np.uint64(63)) & np.uint64(1)).astype(bool)
 
 
-#: The proposals of one pass: words and pairs.
-Proposals = tuple[Bits, Bits]
+@dataclass
+class Proposals:
+    """Words and pairs of the sample."""
+
+    words: Bits
+    pairs: Bits
+
+
+@dataclass
+class Frequent:
+    """Words, pairs and triples that the first full pass found frequent, by hash."""
+
+    words: Bits
+    pairs: Bits
+    triples: Bits
 
 
 class Block:
-    """Counts the phrases of some documents of one language.
+    """Some documents of one language, as numbers of words.
 
-    ``own`` marks the places where a phrase may start: a text longer than a block comes in parts,
-    each with the two words that follow it.
+    ``own`` marks the places where a phrase may start: a long text comes in parts, each with the two
+    words that follow it.
     """
 
     def __init__(self) -> None:
@@ -114,60 +129,83 @@ class Block:
         self.codes += [codes, np.zeros(1, np.int64)]
         self.own.append(np.arange(len(words) + 1) < own)
 
-    def counts(self, lang: str, now: Proposals | None, before: list[Proposals], first: bool) -> Iterator[pa.RecordBatch]:
-        """Rows (lang, phrase, n). Without proposals every word and pair is counted, with them what
-        they and their border hold and no pass ``before`` has counted; words in the first pass only,
-        and with them all words together as the empty phrase."""
+    def places(self, lang: str) -> tuple:
+        """Words as bytes and their hashes; per place: the code, whether a word may start there, and
+        for the places where a pair and a triple starts, their hashes."""
         code, own = np.concatenate(self.codes), np.concatenate(self.own)
         words = list(self.numbers)
-        texts = pa.array([b"", *words[1:]], pa.binary())
-        word = code > 0
-        if first:
-            n = np.bincount(code[own & word], minlength=len(words))
-            at = np.flatnonzero(n)
-            yield _rows(lang, [texts.take(pa.array(at))], n[at])
-            yield _rows(lang, [pa.array([b""], pa.binary())], np.array([n.sum()]))
-        one, two = code[:-1], code[1:]
-        pair = word[:-1] & word[1:]
-        if now is None:
-            yield from self._phrases(lang, texts, [one, two], pair & own[:-1])
-            return
         hashes = word_hashes(lang, words)
-        wanted, held = np.zeros(len(pair), bool), np.zeros(len(pair), bool)
-        wanted[pair], held[pair] = _chosen([p[0] for p in (now, *before)], hashes, one[pair], two[pair])
-        yield from self._phrases(lang, texts, [one, two], wanted & ~held & own[:-1])
-        both = np.full(len(pair), 0, np.uint64)
-        both[pair] = pair_hashes(hashes[one[pair]], hashes[two[pair]])
-        place = np.flatnonzero(pair[:-1] & pair[1:] & own[:-2])
-        wanted, held = _chosen([p[1] for p in (now, *before)], both, place, place + 1)
-        place = place[wanted & ~held]
-        chosen = np.zeros(max(0, len(code) - 2), bool)
-        chosen[place] = True
-        yield from self._phrases(lang, texts, [code[:-2], code[1:-1], code[2:]], chosen)
-
-    def _phrases(self, lang: str, texts: pa.Array, parts: list[np.ndarray], at: np.ndarray) -> Iterator[pa.RecordBatch]:
-        joined = np.zeros(int(at.sum()), np.int64)
-        for part in parts:
-            joined = joined << _ID_BITS | part[at]
-        found, n = np.unique(joined, return_counts=True)
-        low = (1 << _ID_BITS) - 1
-        shifts = [_ID_BITS * i for i in reversed(range(len(parts)))]
-        for a in range(0, len(found), 100_000):
-            some = found[a : a + 100_000]
-            yield _rows(lang, [texts.take(pa.array(some >> s & low)) for s in shifts], n[a : a + 100_000])
-
-
-def _chosen(bits: list[Bits], hashes: np.ndarray, one: np.ndarray, two: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Where both parts are among the proposals, and where they were in an earlier pass."""
-    wanted, held = None, np.zeros(len(one), bool)
-    for table in bits:
-        has = table.has(hashes)
-        both = has[one] & has[two]
-        if wanted is None:
-            wanted = both
-        else:
-            held |= both
-    return wanted, held
+        word = code > 0
+        pair = np.flatnonzero(word[:-1] & word[1:])
+        both = np.zeros(len(code), np.uint64)
+        both[pair] = pair_hashes(hashes[code[pair]], hashes[code[pair + 1]])
+        is_pair = np.zeros(len(code), bool)
+        is_pair[pair] = True
+        triple = np.flatnonzero(is_pair[:-1] & is_pair[1:] & own[:-1])
+        return words, hashes, code, own, pair, both, is_pair, triple
+
+
+def _hashed(lang: str, block: Block, proposals: Proposals | None) -> Iterator[pa.RecordBatch]:
+    """(size, hash, n): words and pairs, or words and what the proposals and their border hold."""
+    words, hashes, code, own, pair, both, is_pair, triple = block.places(lang)
+    n = np.bincount(code[own & (code > 0)], minlength=len(words))
+    yield _hash_rows(1, hashes[n > 0], n[n > 0])
+    if proposals is None:
+        yield _hash_counts(2, both[pair[own[pair]]])
+        return
+    has = proposals.words.has(hashes)
+    start = pair[own[pair]]
+    yield _hash_counts(2, both[start[has[code[start]] & has[code[start + 1]]]])
+    has = np.zeros(len(code), bool)
+    has[pair] = proposals.pairs.has(both[pair])
+    start = triple[has[triple] & has[triple + 1]]
+    yield _hash_counts(3, pair_hashes(both[start], hashes[code[start + 2]]))
+
+
+def _hash_rows(size: int, hashes: np.ndarray, n: np.ndarray) -> pa.RecordBatch:
+    columns = [pa.array(np.full(len(n), size, np.int32)), pa.array(hashes.view(np.int64)), pa.array(n.astype(np.int64))]
+    return pa.RecordBatch.from_arrays(columns, ["size", "hash", "n"])
+
+
+def _hash_counts(size: int, hashes: np.ndarray) -> pa.RecordBatch:
+    return _hash_rows(size, *np.unique(hashes, return_counts=True))
+
+
+def _exact(lang: str, block: Block, proposals: Proposals, frequent: Frequent) -> Iterator[pa.RecordBatch]:
+    """(lang, phrase, n) of the second full pass, and all words together as the empty phrase."""
+    words, hashes, code, own, pair, both, is_pair, triple = block.places(lang)
+    texts = pa.array([b"", *words[1:]], pa.binary())
+    n = np.bincount(code[own & (code > 0)], minlength=len(words))
+    yield _rows(lang, [pa.array([b""], pa.binary())], np.array([n.sum()]))
+    often = frequent.words.has(hashes)
+    at = np.flatnonzero(often & (n > 0))
+    yield _rows(lang, [texts.take(pa.array(at))], n[at])
+
+    proposed = proposals.words.has(hashes)
+    counted = proposed[code[pair]] & proposed[code[pair + 1]]
+    new = often[code[pair]] & often[code[pair + 1]] & ~counted
+    known = counted & frequent.pairs.has(both[pair])
+    start = pair[(known | new) & own[pair]]
+    yield from _phrases(lang, texts, [code[start], code[start + 1]])
+
+    likely, before = np.zeros(len(code), bool), np.zeros(len(code), bool)
+    likely[pair], before[pair] = known | new, proposals.pairs.has(both[pair])
+    counted = before[triple] & before[triple + 1]
+    known = counted & frequent.triples.has(pair_hashes(both[triple], hashes[code[triple + 2]]))
+    start = triple[known | (likely[triple] & likely[triple + 1] & ~counted)]
+    yield from _phrases(lang, texts, [code[start], code[start + 1], code[start + 2]])
+
+
+def _phrases(lang: str, texts: pa.Array, parts: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
+    joined = np.zeros(len(parts[0]), np.int64)
+    for part in parts:
+        joined = joined << _ID_BITS | part
+    found, n = np.unique(joined, return_counts=True)
+    low = (1 << _ID_BITS) - 1
+    shifts = [_ID_BITS * i for i in reversed(range(len(parts)))]
+    for a in range(0, len(found), 100_000):
+        some = found[a : a + 100_000]
+        yield _rows(lang, [texts.take(pa.array(some >> s & low)) for s in shifts], n[a : a + 100_000])
 
 
 def _rows(lang: str, words: list[pa.Array], n: np.ndarray) -> pa.RecordBatch:
@@ -178,73 +216,56 @@ def _rows(lang: str, words: list[pa.Array], n: np.ndarray) -> pa.RecordBatch:
     )
 
 
-def counted(docs: DataFrame, now: Proposals | None = None, before: list[Proposals] | None = None) -> DataFrame:
-    """lang, phrase, n of one pass over ``docs`` (lang, text)."""
-    earlier, first = before or [], not before
+def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[str, Block]]:
+    blocks: dict[str, Block] = {}
+    size = 0
+    for batch in batches:
+        for lang, text in zip(batch.column(0), batch.column(1)):
+            words = tokens(text.as_py())
+            for a in range(0, len(words), PART):
+                part = words[a : a + PART + 2]
+                block = blocks.setdefault(lang.as_py(), Block())
+                block.add(part, PART)
+                size += len(part)
+                if size >= BLOCK or len(block.numbers) >= _IDS:
+                    yield from blocks.items()
+                    blocks, size = {}, 0
+    yield from blocks.items()
 
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        blocks: dict[str, Block] = {}
-        size = 0
-        for batch in batches:
-            for lang, text in zip(batch.column(0), batch.column(1)):
-                words = tokens(text.as_py())
-                for a in range(0, len(words), BLOCK):
-                    part = words[a : a + BLOCK + 2]
-                    blocks.setdefault(lang.as_py(), Block()).add(part, BLOCK)
-                    size += len(part)
-                    if size >= BLOCK:
-                        for name, block in blocks.items():
-                            yield from block.counts(name, now, earlier, first)
-                        blocks, size = {}, 0
-        for name, block in blocks.items():
-            yield from block.counts(name, now, earlier, first)
 
-    made = docs.mapInArrow(count, "lang string, phrase string, n long")
-    return made.groupBy("lang", "phrase").agg(F.sum("n").alias("n"))
-
-
-def _hashes(lang: pa.Array, phrase: pa.Array) -> np.ndarray:
-    """Of words, or of pairs where the phrases have two words."""
-    out = []
-    for name, text in zip(lang.to_pylist(), phrase.to_pylist()):
-        parts = word_hashes(name, text.encode().split(b" "))
-        out.append(parts[0] if len(parts) == 1 else pair_hashes(parts[:1], parts[1:])[0])
-    return np.array(out, np.uint64)
-
-
-def _words(phrase: str):
-    return F.size(F.split(phrase, " "))
+def hash_counts(docs: DataFrame, proposals: Proposals | None = None) -> DataFrame:
+    """size, hash, n over ``docs`` (lang, text)."""
 
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for lang, block in _blocks(batches):
+            yield from _hashed(lang, block, proposals)
 
-def bits(phrases: DataFrame) -> Bits:
-    """The bit table of a written table (lang, phrase) of words or of pairs."""
-    rows = phrases.count()
-    size = min(MOST_BITS, max(FEWEST_BITS, 1 << (8 * rows).bit_length()))
+    made = docs.mapInArrow(count, "size int, hash long, n long")
+    return made.groupBy("size", "hash").agg(F.sum("n").alias("n"))
 
-    def places(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            place = _hashes(batch.column(0), batch.column(1)) % np.uint64(size)
-            bit = np.uint64(1) << (place & np.uint64(63))
-            columns = [pa.array((place >> np.uint64(6)).astype(np.int64)), pa.array(bit.view(np.int64))]
-            yield pa.RecordBatch.from_arrays(columns, ["word", "bits"])
 
-    made = phrases.select("lang", "phrase").mapInArrow(places, "word long, bits long")
-    found = made.groupBy("word").agg(F.bit_or("bits").alias("bits")).toArrow()
-    words = np.zeros(size // 64, np.uint64)
-    words[found.column("word").to_numpy()] = found.column("bits").to_numpy().view(np.uint64)
-    return Bits(words)
+def exact_counts(docs: DataFrame, proposals: Proposals, found: Frequent) -> DataFrame:
+    """lang, phrase, n over ``docs`` (lang, text)."""
 
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for lang, block in _blocks(batches):
+            yield from _exact(lang, block, proposals, found)
 
-def _missed(phrases: DataFrame, table: Bits) -> bool:
-    """Whether a phrase of the table (lang, phrase) is not among the bits."""
+    made = docs.mapInArrow(count, "lang string, phrase string, n long")
+    return made.groupBy("lang", "phrase").agg(F.sum("n").alias("n"))
 
-    def outside(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            away = ~table.has(_hashes(batch.column(0), batch.column(1)))
-            if away.any():
-                yield pa.RecordBatch.from_arrays([pa.array([int(away.sum())], pa.int64())], ["n"])
 
-    return not phrases.select("lang", "phrase").mapInArrow(outside, "n long").isEmpty()
+def bits(hashes: DataFrame) -> Bits:
+    """The bit table of a written table (hash): at most ``MOST_BITS`` bits come to the driver."""
+    rows = hashes.count()
+    size = min(MOST_BITS, max(FEWEST_BITS, 1 << (8 * rows).bit_length()))
+    # The lower bits of the hash, as ``Bits`` takes them of the unsigned number.
+    place = F.col("hash").bitwiseAND(F.lit(size - 1))
+    bit = F.call_function("shiftleft", F.lit(1).cast("long"), place.bitwiseAND(F.lit(63)).cast("int"))
+    words = hashes.groupBy(F.floor(place / 64).alias("word")).agg(F.bit_or(bit).alias("bits")).toArrow()
+    table = np.zeros(size // 64, np.uint64)
+    table[words.column("word").to_numpy()] = words.column("bits").to_numpy().view(np.uint64)
+    return Bits(table)
 
 
 def frequent(docs: DataFrame, least: int = LEAST, share: float = SHARE, lowered: float = LOWERED) -> DataFrame:
@@ -253,23 +274,14 @@ def frequent(docs: DataFrame, least: int = LEAST, share: float = SHARE, lowered:
     rows = common.take(docs, "doc_id", "text", "lang")
     rows = rows.select("doc_id", F.coalesce("lang", F.lit(UNKNOWN)).alias("lang"), "text")
     sampled = F.pmod(F.xxhash64("doc_id", "text"), F.lit(1 << 20)) < int(share * (1 << 20))
-    some = counted(rows.where(sampled).select("lang", "text"))
+    some = hash_counts(rows.where(sampled).select("lang", "text"))
     some = store.materialise(some.where(F.col("n") >= max(1, int(least * share * lowered))), "sample-phrases")
     rows = rows.select("lang", "text")
-    known, passes = some, []
-    while True:
-        now = tuple(bits(known.where((F.col("phrase") != "") & (_words("phrase") == size))) for size in (1, 2))
-        found = counted(rows, now, passes).where((F.col("n") >= least) | (F.col("phrase") == ""))
-        found = store.materialise(found, "phrases")
-        known = store.materialise(known.unionByName(found), "known-phrases") if passes else found
-        passes.append(now)
-        # What is frequent but was not proposed lay on the border.
-        failed = [
-            _missed(known.where((F.col("phrase") != "") & (_words("phrase") == size)), now[size - 1])
-            for size in (1, 2)
-        ]
-        if not any(failed):
-            return known
+    proposals = Proposals(*(bits(some.where(F.col("size") == k)) for k in (1, 2)))
+    often = store.materialise(hash_counts(rows, proposals).where(F.col("n") >= least), "frequent-hashes")
+    found = Frequent(*(bits(often.where(F.col("size") == k)) for k in (1, 2, 3)))
+    exact = exact_counts(rows, proposals, found)
+    return store.materialise(exact.where((F.col("n") >= least) | (F.col("phrase") == "")), "phrases")
 
 
 def ranked(phrases: DataFrame, inside: int = INSIDE, first: int = FIRST) -> DataFrame:
