@@ -17,7 +17,7 @@ at the same time. Of the edit matrix between the scanned word and a word asked o
 three cells around the diagonal can hold 0 or 1. Its row at a depth depends on the prefix alone, so
 rows are kept by depth and the next word starts from the row of the prefix it shares with the one
 before (their LCP). A row lists only the asked words that are still within one edit; where none is
-left the scan skips all words that share the prefix.
+left but the scanned word itself, the scan skips all words that share the prefix.
 
 *Form and root.* A word's form is its neighbour of the largest count (ties: the first by code
 points) if that has at least ``TIMES`` its count. Counts grow with every step, so forms have no
@@ -32,6 +32,7 @@ from __future__ import annotations
 
 import re
 import zlib
+from bisect import bisect_left
 from collections import Counter
 from collections.abc import Iterator
 
@@ -52,6 +53,7 @@ HELD, HELD_SIGNS = 100_000, 20_000_000
 ROWS = 200_000
 #: Larger than any distance that counts.
 FAR = 2
+SMALL = 24
 _RUNS = re.compile(f"[{LETTERS}]{{{SHORTEST},}}")
 _LOWER = str.maketrans(common.UPPER, common.LOWER)
 
@@ -114,32 +116,91 @@ def shared_prefixes(words: list[str]) -> np.ndarray:
 
 
 class Scan:
-    """Neighbours of the words asked in a sorted list, by one scan of that list."""
-
-    def __init__(self, asked: list[str]):
-        self.points, self.size = _matrix(asked)
+    """Neighbours of words asked in sorted lists, by one scan of each list."""
+
+    def __init__(self, words: list[str]):
+        """``words`` are all that will be asked, of however many lists."""
+        self.words = words
+        points, self.size = _matrix(words)
+        self.points = np.ascontiguousarray(points.T)
+        #: FAR where a word has no such code point, so that no cell stands for it.
+        self.pads = np.where(np.arange(len(self.points))[:, None] > self.size, FAR, 0).astype(np.int8)
+        #: By depth: places and cells as arrays, or for up to ``SMALL`` places (place, cells) in a list.
+        self.rows: list = []
+
+    def _ask(self, asked: np.ndarray) -> None:
         # Before the first letter: distances to the first -1, 0 and 1 code points of a word asked.
         start = np.full((len(asked), 3), FAR, np.int8)
-        start[:, 1], start[:, 2] = 0, np.where(self.size >= 1, 1, FAR)
-        self.rows = [(np.arange(len(asked)), start)]
+        start[:, 1], start[:, 2] = 0, np.where(self.size[asked] >= 1, 1, FAR)
+        self.rows = [self._held(asked, start)]
+
+    @staticmethod
+    def _held(active: np.ndarray, cells: np.ndarray):
+        if len(active) > SMALL:
+            return active, [np.ascontiguousarray(c) for c in cells.T]
+        return [(i, *row) for i, row in zip(active.tolist(), cells.tolist())]
 
     def _next(self, point: int) -> None:
         """The row one letter deeper, from the deepest one held."""
         depth = len(self.rows) - 1
-        active, old = self.rows[-1]
+        if isinstance(self.rows[-1], list):
+            self.rows.append(self._next_few(self.rows[-1], depth, chr(point)))
+            return
+        active, (low, mid, high) = self.rows[-1]
         # Cell k of a row at depth d stands for the first d + k - 1 code points of the word asked.
-        new = old + (self.points[active, depth : depth + 3] != point)
-        new[:, :2] = np.minimum(new[:, :2], old[:, 1:] + 1)
-        new[:, 1] = np.minimum(new[:, 1], new[:, 0] + 1)
-        new[:, 2] = np.minimum(new[:, 2], new[:, 1] + 1)
-        new[np.arange(depth, depth + 3) > self.size[active, None]] = FAR
-        alive = (new <= 1).any(axis=1)
-        self.rows.append((active[alive], np.minimum(new[alive], FAR)))
-
-    def near(self, listed: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """Places in asked and listed of the pairs that are exactly one edit apart."""
+        differs = [self.points[depth + k][active] != point for k in range(3)]
+        first = np.minimum(low + differs[0], mid + 1)
+        first = np.maximum(first, self.pads[depth][active])
+        second = np.minimum(np.minimum(mid + differs[1], high + 1), first + 1)
+        second = np.maximum(second, self.pads[depth + 1][active])
+        third = np.maximum(np.minimum(high + differs[2], second + 1), self.pads[depth + 2][active])
+        alive = np.flatnonzero(np.minimum(np.minimum(first, second), third) <= 1)
+        cells = np.minimum(np.array([first[alive], second[alive], third[alive]]), FAR).T
+        self.rows.append(self._held(active[alive], cells))
+
+    def _next_few(self, row: list, depth: int, sign: str) -> list:
+        """The same for few words, for which arrays cost more than they spare."""
+        out, words = [], self.words
+        for i, low, mid, high in row:
+            word = words[i]
+            size = len(word)
+            if depth > size:
+                continue
+            first = min(low + (depth == 0 or word[depth - 1] != sign), mid + 1)
+            second = third = FAR
+            if depth < size:
+                second = min(mid + (word[depth] != sign), high + 1, first + 1)
+                if depth + 1 < size:
+                    third = min(high + (word[depth + 1] != sign), second + 1)
+            if first < FAR or second < FAR or third < FAR:
+                out.append((i, min(first, FAR), min(second, FAR), min(third, FAR)))
+        return out
+
+    def _hits(self, size: int) -> list[int]:
+        """Places of the words that are one edit from the scanned word of this size."""
+        row = self.rows[-1]
+        if isinstance(row, list):
+            return [i for i, *cells in row if 0 <= (off := len(self.words[i]) - size + 1) <= 2 and cells[off] == 1]
+        active, cells = row
+        off = self.size[active] - size + 1
+        inside = (off >= 0) & (off <= 2)
+        cells = np.array(cells)
+        return active[inside][cells[off[inside], np.flatnonzero(inside)] == 1].tolist()
+
+    def _left(self) -> int:
+        row = self.rows[-1]
+        return len(row) if isinstance(row, list) else len(row[0])
+
+    def near(self, asked: np.ndarray, listed: list[str], shared: list[int], own: bool) -> tuple[np.ndarray, np.ndarray]:
+        """Places in ``words`` and in ``listed`` of the pairs that are exactly one edit apart.
+
+        ``shared[i]`` tells how many code points the i-th word shares with the one before. ``own``
+        says that the words asked are the listed ones: a prefix near to one word only is then that
+        word's own, and no other has it.
+        """
+        self._ask(asked)
         found_asked, found_listed = [], []
-        shared = [0, *shared_prefixes(listed).tolist()]
+        least = 1 + own
         dead = None  # depth of a prefix that no word asked is near to
         for place, (word, lcp) in enumerate(zip(listed, shared)):
             if dead is not None:
@@ -149,39 +210,42 @@ class Scan:
             del self.rows[lcp + 1 :]
             for point in map(ord, word[len(self.rows) - 1 :]):
                 self._next(point)
-                if not len(self.rows[-1][0]):
+                if self._left() < least:
                     dead = len(self.rows) - 1
                     break
             else:
-                active, row = self.rows[-1]
-                off = self.size[active] - len(word) + 1
-                inside = (off >= 0) & (off <= 2)
-                hit = active[inside][row[inside, off[inside]] == 1]
-                if len(hit):
-                    found_asked.append(hit)
-                    found_listed.append(np.full(len(hit), place))
-        if not found_asked:
-            return np.empty(0, np.int64), np.empty(0, np.int64)
-        return np.concatenate(found_asked), np.concatenate(found_listed)
+                hit = self._hits(len(word))
+                found_asked += hit
+                found_listed += [place] * len(hit)
+        return np.array(found_asked, np.int64), np.array(found_listed, np.int64)
 
 
-def _group_pairs(words: list[str], asked: np.ndarray, longer: int, backwards: bool):
-    """Places of the ordered pairs of a group whose longer word has ``longer`` code points.
+def _pairs(words: list[str], starts: list[int], asked: np.ndarray, longer: np.ndarray, backwards: np.ndarray):
+    """Places of the ordered pairs of near words of each group, whose longer word is of full length.
 
     ``asked`` marks the words of the first of two blocks; where they are one block all are both.
     Pairs that share their first half are left to the group of that.
     """
-    questions = np.flatnonzero(asked != 1)
-    answers = np.flatnonzero(asked != 0)
-    a, b = Scan([words[i] for i in questions]).near([words[i] for i in answers])
-    a, b = questions[a], answers[b]
-    size = np.array([len(w) for w in words])
-    right = np.maximum(size[a], size[b]) == longer
-    if backwards:
-        half = (longer - 1) // 2
-        heads = np.array([w[::-1][:half] for w in words], object)
-        right &= np.array([x != y for x, y in zip(heads[a], heads[b])], bool)
-    return a[right], b[right]
+    scan, shared = Scan(words), [0, *shared_prefixes(words).tolist()]
+    one, two = [], []
+    for a, b in zip(starts, [*starts[1:], len(words)]):
+        if asked[a] == 2:
+            shared[a] = 0
+            x, y = scan.near(np.arange(a, b), words[a:b], shared[a:b], True)
+            y = y + a
+        else:
+            answers = a + np.flatnonzero(asked[a:b] == 1)
+            listed = [words[i] for i in answers]
+            x, y = scan.near(a + np.flatnonzero(asked[a:b] == 0), listed, [0, *shared_prefixes(listed).tolist()], False)
+            y = answers[y]
+        one.append(x)
+        two.append(y)
+    x, y = np.concatenate(one), np.concatenate(two)
+    right = np.maximum(scan.size[x], scan.size[y]) == longer[x]
+    for i in np.flatnonzero(right & backwards[x]).tolist():
+        half = (longer[x[i]] - 1) // 2
+        right[i] = words[x[i]][-half:] != words[y[i]][-half:]
+    return x[right], y[right]
 
 
 def neighbours(words: DataFrame) -> DataFrame:
@@ -224,9 +288,12 @@ def neighbours(words: DataFrame) -> DataFrame:
             n, asked = rows.column("n").to_numpy(), rows.column("asked").to_numpy()
             longer = rows.column("longer").to_numpy()
             backwards = rows.column("backwards").to_numpy(zero_copy_only=False)
+            # Words of one length at a time: a matrix of them is as large as they are.
+            cuts = [0, *(np.flatnonzero(longer[1:] != longer[:-1]) + 1).tolist(), len(words)]
             one, two = [], []
-            for a, b in zip(starts, [*starts[1:], len(words)]):
-                x, y = _group_pairs(words[a:b], asked[a:b], int(longer[a]), bool(backwards[a]))
+            for a, b in zip(cuts, cuts[1:]):
+                mine = [x - a for x in starts[bisect_left(starts, a) : bisect_left(starts, b)]]
+                x, y = _pairs(words[a:b], mine, asked[a:b], longer[a:b], backwards[a:b])
                 one.append(x + a)
                 two.append(y + a)
             one, two = np.concatenate(one), np.concatenate(two)

@@ -5,6 +5,7 @@ import re
 import zlib
 from collections import Counter
 
+import numpy as np
 import pytest
 
 from tallyloom.llm import catalogue, variants
@@ -75,7 +76,8 @@ def made_words(seed, families):
 def test_scan_finds_one_edit_and_no_other(seed):
     words = [w for w in made_words(seed, 40) if w]
     asked, listed = words[::2], words
-    a, b = variants.Scan(asked).near(listed)
+    shared = [0, *variants.shared_prefixes(listed).tolist()]
+    a, b = variants.Scan(asked).near(np.arange(len(asked)), listed, shared, False)
     pairs = [(asked[i], listed[j]) for i, j in zip(a.tolist(), b.tolist())]
     assert len(pairs) == len(set(pairs))
     assert set(pairs) == {(x, y) for x in asked for y in listed if one_edit(x, y)}
@@ -84,7 +86,8 @@ def test_scan_finds_one_edit_and_no_other(seed):
 @pytest.mark.parametrize("words", [["a"], ["a", "aa"], ["ab", "b"], ["abc", "acb"], ["", "a"], ["é", "e"], ["ab", "abcdefgh"]])
 def test_scan_at_the_edges(words):
     words = sorted(words)
-    a, b = variants.Scan(words).near(words)
+    shared = [0, *variants.shared_prefixes(words).tolist()]
+    a, b = variants.Scan(words).near(np.arange(len(words)), words, shared, True)
     assert {(words[i], words[j]) for i, j in zip(a, b)} == {(x, y) for x in words for y in words if one_edit(x, y)}
 
 
