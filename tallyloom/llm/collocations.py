@@ -7,15 +7,14 @@ and tabs. Everything is counted per language, over all contiguous occurrences wi
 
 1. A sample of documents (``SHARE``, by hash) is counted at a lowered threshold. Its frequent words
    and pairs are the proposals.
-2. A pass over all documents counts the proposals and their negative border, the phrases that are not
-   proposed while all their shorter parts are: every word, every pair of proposed words, every triple
-   of proposed pairs. Only border phrases that occur are ever held. This pass counts 64-bit hashes of
-   phrases, which are cheaper to group than text; a hash that two phrases share only seems frequent.
+2. A pass over all documents counts exactly the proposals and their negative border, the phrases that
+   are not proposed while all their shorter parts are: every word, every pair of proposed words, every
+   triple of proposed pairs. Only border phrases that occur are ever held.
 3. A border phrase that turns out frequent is a failure of the sample: phrases made of it were not
-   counted. The next pass counts, as text and exactly, all phrases found frequent, and what failures
-   add to the border: pairs of frequent words that were not counted, and triples of pairs that are
-   frequent or among those. As it takes those pairs for proposals before their counts are known, its
-   border holds no phrase that a further pass would have to extend: it is closed.
+   counted. Where there is one, a further pass counts what failures add to the border: pairs of
+   frequent words that were not counted, and triples of pairs that are frequent or among those. As it
+   takes those pairs for proposals before their counts are known, no phrase that it finds frequent
+   can be extended by one that is not counted: the border is closed.
 
 Sets of phrases reach the tasks as bit tables of at most ``MOST_BITS`` bits, whatever the size of the
 corpus. A phrase that shares its bit with one of them is counted too, always or never, so counts are
@@ -97,21 +96,12 @@ class Bits:
 
 @dataclass
 class Proposals:
-    """Words and pairs of the sample."""
+    """Words and pairs: those of the sample, or those that a full pass found frequent."""
 
     words: Bits
     pairs: Bits
 
 
-@dataclass
-class Frequent:
-    """Words, pairs and triples that the first full pass found frequent, by hash."""
-
-    words: Bits
-    pairs: Bits
-    triples: Bits
-
-
 class Block:
     """Some documents of one language, as numbers of words.
 
@@ -145,21 +135,12 @@ class Block:
         return words, hashes, code, own, pair, both, is_pair, triple
 
 
-def _hashed(lang: str, block: Block, proposals: Proposals | None) -> Iterator[pa.RecordBatch]:
-    """(size, hash, n): words and pairs, or words and what the proposals and their border hold."""
-    words, hashes, code, own, pair, both, is_pair, triple = block.places(lang)
+def _hashed(lang: str, block: Block) -> Iterator[pa.RecordBatch]:
+    """(size, hash, n) of all words and pairs."""
+    words, hashes, code, own, pair, both, _, _ = block.places(lang)
     n = np.bincount(code[own & (code > 0)], minlength=len(words))
     yield _hash_rows(1, hashes[n > 0], n[n > 0])
-    if proposals is None:
-        yield _hash_counts(2, both[pair[own[pair]]])
-        return
-    has = proposals.words.has(hashes)
-    start = pair[own[pair]]
-    yield _hash_counts(2, both[start[has[code[start]] & has[code[start + 1]]]])
-    has = np.zeros(len(code), bool)
-    has[pair] = proposals.pairs.has(both[pair])
-    start = triple[has[triple] & has[triple + 1]]
-    yield _hash_counts(3, pair_hashes(both[start], hashes[code[start + 2]]))
+    yield _hash_rows(2, *np.unique(both[pair[own[pair]]], return_counts=True))
 
 
 def _hash_rows(size: int, hashes: np.ndarray, n: np.ndarray) -> pa.RecordBatch:
@@ -167,32 +148,30 @@ def _hash_rows(size: int, hashes: np.ndarray, n: np.ndarray) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays(columns, ["size", "hash", "n"])
 
 
-def _hash_counts(size: int, hashes: np.ndarray) -> pa.RecordBatch:
-    return _hash_rows(size, *np.unique(hashes, return_counts=True))
-
-
-def _exact(lang: str, block: Block, proposals: Proposals, frequent: Frequent) -> Iterator[pa.RecordBatch]:
-    """(lang, phrase, n) of the second full pass, and all words together as the empty phrase."""
-    words, hashes, code, own, pair, both, is_pair, triple = block.places(lang)
+def _exact(lang: str, block: Block, proposals: Proposals, known: Proposals | None) -> Iterator[pa.RecordBatch]:
+    """(lang, phrase, n): the proposals and their border, and all words as the empty phrase; or, where
+    it is ``known`` what is frequent among these, what that adds."""
+    words, hashes, code, own, pair, both, _, triple = block.places(lang)
     texts = pa.array([b"", *words[1:]], pa.binary())
-    n = np.bincount(code[own & (code > 0)], minlength=len(words))
-    yield _rows(lang, [pa.array([b""], pa.binary())], np.array([n.sum()]))
-    often = frequent.words.has(hashes)
-    at = np.flatnonzero(often & (n > 0))
-    yield _rows(lang, [texts.take(pa.array(at))], n[at])
-
     proposed = proposals.words.has(hashes)
     counted = proposed[code[pair]] & proposed[code[pair + 1]]
-    new = often[code[pair]] & often[code[pair + 1]] & ~counted
-    known = counted & frequent.pairs.has(both[pair])
-    start = pair[(known | new) & own[pair]]
+    before, likely = np.zeros(len(code), bool), np.zeros(len(code), bool)
+    before[pair] = proposals.pairs.has(both[pair])
+    if known is None:
+        n = np.bincount(code[own & (code > 0)], minlength=len(words))
+        yield _rows(lang, [pa.array([b""], pa.binary())], np.array([n.sum()]))
+        at = np.flatnonzero(n)
+        yield _rows(lang, [texts.take(pa.array(at))], n[at])
+        wanted = counted
+        extended = before[triple] & before[triple + 1]
+    else:
+        often = known.words.has(hashes)
+        wanted = often[code[pair]] & often[code[pair + 1]] & ~counted
+        likely[pair] = wanted | known.pairs.has(both[pair])
+        extended = likely[triple] & likely[triple + 1] & ~(before[triple] & before[triple + 1])
+    start = pair[wanted & own[pair]]
     yield from _phrases(lang, texts, [code[start], code[start + 1]])
-
-    likely, before = np.zeros(len(code), bool), np.zeros(len(code), bool)
-    likely[pair], before[pair] = known | new, proposals.pairs.has(both[pair])
-    counted = before[triple] & before[triple + 1]
-    known = counted & frequent.triples.has(pair_hashes(both[triple], hashes[code[triple + 2]]))
-    start = triple[known | (likely[triple] & likely[triple + 1] & ~counted)]
+    start = triple[extended]
     yield from _phrases(lang, texts, [code[start], code[start + 1], code[start + 2]])
 
 
@@ -233,23 +212,23 @@ def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[str, Block]]:
     yield from blocks.items()
 
 
-def hash_counts(docs: DataFrame, proposals: Proposals | None = None) -> DataFrame:
+def hash_counts(docs: DataFrame) -> DataFrame:
     """size, hash, n over ``docs`` (lang, text)."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for lang, block in _blocks(batches):
-            yield from _hashed(lang, block, proposals)
+            yield from _hashed(lang, block)
 
     made = docs.mapInArrow(count, "size int, hash long, n long")
     return made.groupBy("size", "hash").agg(F.sum("n").alias("n"))
 
 
-def exact_counts(docs: DataFrame, proposals: Proposals, found: Frequent) -> DataFrame:
+def exact_counts(docs: DataFrame, proposals: Proposals, known: Proposals | None = None) -> DataFrame:
     """lang, phrase, n over ``docs`` (lang, text)."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for lang, block in _blocks(batches):
-            yield from _exact(lang, block, proposals, found)
+            yield from _exact(lang, block, proposals, known)
 
     made = docs.mapInArrow(count, "lang string, phrase string, n long")
     return made.groupBy("lang", "phrase").agg(F.sum("n").alias("n"))
@@ -268,6 +247,40 @@ def bits(hashes: DataFrame) -> Bits:
     return Bits(table)
 
 
+def _phrase_hashes(phrases: DataFrame) -> DataFrame:
+    """size, hash of the words and pairs of a table (lang, phrase), written."""
+
+    def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            sizes, hashes = [], []
+            for lang, phrase in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                parts = word_hashes(lang, phrase.encode().split(b" "))
+                sizes.append(len(parts))
+                hashes.append(parts[0] if len(parts) == 1 else pair_hashes(parts[:1], parts[1:])[0])
+            columns = [pa.array(sizes, pa.int32()), pa.array(np.array(hashes, np.uint64).view(np.int64))]
+            yield pa.RecordBatch.from_arrays(columns, ["size", "hash"])
+
+    rows = phrases.where((F.col("phrase") != "") & (F.size(F.split("phrase", " ")) < 3))
+    return store.materialise(rows.select("lang", "phrase").mapInArrow(make, "size int, hash long"), "phrase-hashes")
+
+
+def _missed(hashes: DataFrame, proposals: Proposals) -> bool:
+    """Whether a frequent word or pair was not proposed."""
+
+    def outside(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            size, found = batch.column(0).to_numpy(), batch.column(1).to_numpy().view(np.uint64)
+            away = np.where(size == 1, ~proposals.words.has(found), ~proposals.pairs.has(found))
+            if away.any():
+                yield pa.RecordBatch.from_arrays([pa.array([int(away.sum())], pa.int64())], ["n"])
+
+    return not hashes.select("size", "hash").mapInArrow(outside, "n long").isEmpty()
+
+
+def _proposals(hashes: DataFrame) -> Proposals:
+    return Proposals(*(bits(hashes.where(F.col("size") == k)) for k in (1, 2)))
+
+
 def frequent(docs: DataFrame, least: int = LEAST, share: float = SHARE, lowered: float = LOWERED) -> DataFrame:
     """lang, phrase, n: all phrases of one to three words with at least ``least`` occurrences, and
     the number of all words of each language as the empty phrase."""
@@ -277,11 +290,14 @@ def frequent(docs: DataFrame, least: int = LEAST, share: float = SHARE, lowered:
     some = hash_counts(rows.where(sampled).select("lang", "text"))
     some = store.materialise(some.where(F.col("n") >= max(1, int(least * share * lowered))), "sample-phrases")
     rows = rows.select("lang", "text")
-    proposals = Proposals(*(bits(some.where(F.col("size") == k)) for k in (1, 2)))
-    often = store.materialise(hash_counts(rows, proposals).where(F.col("n") >= least), "frequent-hashes")
-    found = Frequent(*(bits(often.where(F.col("size") == k)) for k in (1, 2, 3)))
-    exact = exact_counts(rows, proposals, found)
-    return store.materialise(exact.where((F.col("n") >= least) | (F.col("phrase") == "")), "phrases")
+    proposals = _proposals(some)
+    enough = (F.col("n") >= least) | (F.col("phrase") == "")
+    found = store.materialise(exact_counts(rows, proposals).where(enough), "phrases")
+    hashes = _phrase_hashes(found)
+    if not _missed(hashes, proposals):
+        return found
+    more = exact_counts(rows, proposals, _proposals(hashes)).where(enough)
+    return found.unionByName(store.materialise(more, "further-phrases"))
 
 
 def ranked(phrases: DataFrame, inside: int = INSIDE, first: int = FIRST) -> DataFrame:

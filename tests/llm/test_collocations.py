@@ -4,7 +4,6 @@ import random
 import re
 from collections import Counter
 
-import numpy as np
 import pytest
 
 from tallyloom.llm import collocations
@@ -84,18 +83,23 @@ def test_failures_of_the_sample_are_made_good(spark, odd, share):
 
 
 def test_border_is_counted_and_no_more(spark, odd):
-    """The first full pass holds pairs of proposed words and triples of proposed pairs only."""
+    """The first full pass holds pairs of proposed words and triples of proposed pairs only, the next
+    one what was found frequent beyond them."""
     rows = [("en", "a b c")] * 3 + [("en", "a b d, e f g")]
-    hashes = dict(zip("abcdefg", collocations.word_hashes("en", [w.encode() for w in "abcdefg"]).tolist()))
-    pair = lambda x, y: int(collocations.pair_hashes(*(np.array([v], np.uint64) for v in (x, y)))[0])
-    signed = lambda values: spark.createDataFrame([(int(np.uint64(v).view(np.int64)),) for v in values], "hash long")
-    words = collocations.bits(signed([hashes[w] for w in "abc"]))
-    pairs = collocations.bits(signed([pair(hashes["a"], hashes["b"]), pair(hashes["b"], hashes["c"])]))
-    found = collocations.hash_counts(made(spark, rows).select("lang", "text"), collocations.Proposals(words, pairs))
-    got = {(r["size"], r["hash"] % 2**64): r["n"] for r in found.collect()}
-    ab, bc = pair(hashes["a"], hashes["b"]), pair(hashes["b"], hashes["c"])
-    want = {(1, h): {"a": 4, "b": 4, "c": 3}.get(w, 1) for w, h in hashes.items()}
-    assert got == want | {(2, ab): 4, (2, bc): 3, (3, pair(ab, hashes["c"])): 3}
+    docs = made(spark, rows).select("lang", "text")
+
+    def proposals(*phrases):
+        table = spark.createDataFrame([("en", p) for p in phrases], "lang string, phrase string")
+        return collocations._proposals(collocations._phrase_hashes(table))
+
+    def got(*which):
+        return {r["phrase"]: r["n"] for r in collocations.exact_counts(docs, *which).collect()}
+
+    sample = proposals("a", "b", "c", "a b", "b c")
+    words = {"a": 4, "b": 4, "c": 3, "d": 1, "e": 1, "f": 1, "g": 1, "": 15}
+    assert got(sample) == words | {"a b": 4, "b c": 3, "a b c": 3}
+    assert got(sample, proposals("a", "b", "c", "d", "a b", "b c")) == {"b d": 1, "a b d": 1}
+    assert got(sample, proposals("a", "b", "c", "a b", "b c")) == {}
 
 
 def test_full_tables_change_nothing(spark, odd, monkeypatch):
