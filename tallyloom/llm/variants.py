@@ -16,8 +16,9 @@ every pair of its blocks meets; none is dropped.
 at the same time. Of the edit matrix between the scanned word and a word asked only the band of
 three cells around the diagonal can hold 0 or 1. Its row at a depth depends on the prefix alone, so
 rows are kept by depth and the next word starts from the row of the prefix it shares with the one
-before (their LCP). A row lists only the asked words that are still within one edit; where none is
-left but the scanned word itself, the scan skips all words that share the prefix.
+before (their LCP). A row lists only the asked words that are still within one edit, and of a list
+that asks itself only those after the scanned word, as each pair is found once; where none is left
+the scan skips all words that share the prefix.
 
 *Form and root.* A word's form is its neighbour of the largest count (ties: the first by code
 points) if that has at least ``TIMES`` its count. Counts grow with every step, so forms have no
@@ -140,11 +141,11 @@ class Scan:
             return active, [np.ascontiguousarray(c) for c in cells.T]
         return [(i, *row) for i, row in zip(active.tolist(), cells.tolist())]
 
-    def _next(self, point: int) -> None:
+    def _next(self, point: int, after: int) -> None:
         """The row one letter deeper, from the deepest one held."""
         depth = len(self.rows) - 1
         if isinstance(self.rows[-1], list):
-            self.rows.append(self._next_few(self.rows[-1], depth, chr(point)))
+            self.rows.append(self._next_few(self.rows[-1], depth, chr(point), after))
             return
         active, (low, mid, high) = self.rows[-1]
         # Cell k of a row at depth d stands for the first d + k - 1 code points of the word asked.
@@ -154,17 +155,17 @@ class Scan:
         second = np.minimum(np.minimum(mid + differs[1], high + 1), first + 1)
         second = np.maximum(second, self.pads[depth + 1][active])
         third = np.maximum(np.minimum(high + differs[2], second + 1), self.pads[depth + 2][active])
-        alive = np.flatnonzero(np.minimum(np.minimum(first, second), third) <= 1)
+        alive = np.flatnonzero((np.minimum(np.minimum(first, second), third) <= 1) & (active > after))
         cells = np.minimum(np.array([first[alive], second[alive], third[alive]]), FAR).T
         self.rows.append(self._held(active[alive], cells))
 
-    def _next_few(self, row: list, depth: int, sign: str) -> list:
+    def _next_few(self, row: list, depth: int, sign: str, after: int) -> list:
         """The same for few words, for which arrays cost more than they spare."""
         out, words = [], self.words
         for i, low, mid, high in row:
             word = words[i]
             size = len(word)
-            if depth > size:
+            if depth > size or i <= after:
                 continue
             first = min(low + (depth == 0 or word[depth - 1] != sign), mid + 1)
             second = third = FAR
@@ -195,12 +196,12 @@ class Scan:
         """Places in ``words`` and in ``listed`` of the pairs that are exactly one edit apart.
 
         ``shared[i]`` tells how many code points the i-th word shares with the one before. ``own``
-        says that the words asked are the listed ones: a prefix near to one word only is then that
-        word's own, and no other has it.
+        says that the words asked are the listed ones, in their order: a pair is then found where its
+        first word is listed.
         """
         self._ask(asked)
         found_asked, found_listed = [], []
-        least = 1 + own
+        first = int(asked[0]) if own and len(asked) else 0
         dead = None  # depth of a prefix that no word asked is near to
         for place, (word, lcp) in enumerate(zip(listed, shared)):
             if dead is not None:
@@ -208,13 +209,14 @@ class Scan:
                     continue
                 dead = None
             del self.rows[lcp + 1 :]
+            after = first + place if own else -1
             for point in map(ord, word[len(self.rows) - 1 :]):
-                self._next(point)
-                if self._left() < least:
+                self._next(point, after)
+                if not self._left():
                     dead = len(self.rows) - 1
                     break
             else:
-                hit = self._hits(len(word))
+                hit = [i for i in self._hits(len(word)) if i > after]
                 found_asked += hit
                 found_listed += [place] * len(hit)
         return np.array(found_asked, np.int64), np.array(found_listed, np.int64)
@@ -232,7 +234,7 @@ def _pairs(words: list[str], starts: list[int], asked: np.ndarray, longer: np.nd
         if asked[a] == 2:
             shared[a] = 0
             x, y = scan.near(np.arange(a, b), words[a:b], shared[a:b], True)
-            y = y + a
+            x, y = np.concatenate([x, y + a]), np.concatenate([y + a, x])
         else:
             answers = a + np.flatnonzero(asked[a:b] == 1)
             listed = [words[i] for i in answers]
