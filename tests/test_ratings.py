@@ -66,6 +66,30 @@ def test_similarities_are_the_same_for_any_block_size(spark, rows, block):
     assert all(s == 0 for (i, j), (s, _) in got.items() if 9 in (i, j))
 
 
+@pytest.mark.parametrize("tiles", [1, 2, 5])
+def test_matches_of_two_items_meet_in_one_cell(spark, rows, tiles):
+    """No row is needed twice, none is lost, and sums by pair need no shuffle of the matches."""
+    twice = rows.union(rows.where("user_id = 21")).union(rows.selectExpr("NULL", "item_id", "rating").limit(5))
+    found = pairs.matches_by_cell(twice, "item_id", "rating", pairs.UserLoad(None, 2, tiles))
+    sums = found.groupBy("cell", F.col("a.id").alias("a"), F.col("b.id").alias("b")).count()
+    assert sums._jdf.queryExecution().executedPlan().toString().count("Exchange") == 2
+    got = defaultdict(int)
+    for r in sums.collect():
+        pair = min(r.a, r.b), max(r.a, r.b)
+        assert pair not in got
+        got[pair] = r["count"]
+    assert got == {k: n for k, (_, n) in brute_similarities(RATINGS).items()}
+
+
+def test_a_list_is_no_longer_than_its_block_of_items(spark, monkeypatch):
+    monkeypatch.setattr(pairs, "ROWS_PER_LIST", 20)
+    rows = spark.range(400).selectExpr("1L user_id", "id item_id", "1 rating")
+    load = pairs.user_load(rows)
+    cells = pairs.matches_by_cell(rows, "item_id", "rating", load).groupBy("cell").count()
+    sizes = [r["count"] for r in cells.collect()]
+    assert load.tiles == 20 and sum(sizes) == 400 * 399 // 2 and max(sizes) < 2000
+
+
 def test_active_user_work_is_spread(spark):
     """One user holding most rows: no join cell sees more than about block² matches."""
     rows = spark.range(400).selectExpr("1L user_id", "id item_id", "1 rating")
