@@ -354,8 +354,9 @@ def count_vectors(spark, folder):
     tf = store.materialise(_word_frequencies(rows), "word-frequencies")
     counted = features.count_vectors(tf, rows, "doc_id")
     entries = vectors.vector_rows(counted.vectors, "doc_id", "counts")
-    entries = entries.join(counted.ids, F.col("index") == F.col("term_id"))
-    weighted = terms.tfidf_long(entries.select("doc_id", "term", F.col("value").alias("tf")), rows)
+    # Weighted by number: the words themselves, which are longer, meet the rows last.
+    weighted = terms.tfidf_long(entries.select("doc_id", F.col("index").alias("term"), F.col("value").alias("tf")), rows)
+    weighted = weighted.withColumnRenamed("term", "term_id").join(counted.ids, "term_id")
     return weighted.select("doc_id", "term", F.round("tfidf", 6).alias("tfidf"))
 
 

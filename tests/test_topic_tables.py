@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from tallyloom import store
 from tallyloom.functions import vectors
 from tallyloom.operators import features, terms, topics
-from tallyloom.plans import inputs, tweets
+from tallyloom.plans import inputs, queries, tweets
 
 
 @pytest.fixture(scope="module")
@@ -86,3 +86,13 @@ def test_digamma():
     x = np.array([1e-3, 0.5, 1.0, 2.0, 10.0, 1e6])
     want = [-1000.5755719318103, -1.9635100260214235, -0.5772156649015329, 0.42278433509846714, 2.251752589066721, 13.815510057964191]
     assert topics.digamma(x) == pytest.approx(want, rel=1e-8)
+
+
+def test_count_vectors_are_weighted_by_number(spark, small, monkeypatch):
+    """Document frequencies are counted and joined by term number, not by the words themselves."""
+    written, one = {}, store.materialise
+    monkeypatch.setattr(store, "materialise", lambda df, name: written.setdefault(name, one(df, name)))
+    rows = queries.QUERIES["count_vectors"](spark, small)
+    assert dict(written["document-frequencies"].dtypes)["term"] == "int"
+    assert dict(rows.dtypes)["term"] == "string"
+    assert rows.count() == written["word-frequencies"].count()
