@@ -85,15 +85,20 @@ class WordTokens:
     def _runs(self, runs: list[str]) -> list[bytes]:
         """Ids of lower-case runs without white space."""
         found = list(map(self.known.get, runs))
-        cut = {run: PIECES.findall(run) for run, ids in zip(runs, found) if ids is None}
-        answers = self._ask({p for pieces in cut.values() for p in pieces}.difference(self.known))
+        new = [run for run, ids in zip(runs, found) if ids is None]
+        # Runs of letters are one piece.
+        cut = {run: PIECES.findall(run) for run in new if not run.isalpha()}
+        pieces = {p for pieces in cut.values() for p in pieces}.difference(self.known)
+        answers = self._ask(pieces.union(filter(str.isalpha, new)))
         joined = {
-            run: b"".join(answers[p] if p in answers else self.known[p] for p in pieces)
+            run: b"".join([answers[p] if p in answers else self.known[p] for p in pieces])
             for run, pieces in cut.items()
+            if run not in answers
         }
         self._learn(answers)
         self._learn(joined)
-        return [joined[run] if ids is None else ids for run, ids in zip(runs, found)]
+        answers |= joined
+        return [answers[run] if ids is None else ids for run, ids in zip(runs, found)]
 
     def _learn(self, ids: dict[str, bytes]) -> None:
         if self.held >= TABLE_BYTES:
@@ -103,7 +108,7 @@ class WordTokens:
         self.held += sum(ENTRY_BYTES + len(run) + len(found) for run, found in new.items())
 
     def _ask(self, pieces: set[str]) -> dict[str, bytes]:
-        signs = (p.encode().decode("latin-1").translate(SIGNS) for p in pieces)
+        signs = (p if p.isascii() else p.encode().decode("latin-1").translate(SIGNS) for p in pieces)
         ids = [[t.id for t in self.model.tokenize(p)] for p in signs]
         ends = np.cumsum([0, *map(len, ids)]).tolist()
         flat = np.fromiter((i for found in ids for i in found), "<u4").tobytes()

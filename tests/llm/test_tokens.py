@@ -248,3 +248,13 @@ def test_knapsack_is_exact():
             for a in range(7) for b in range(5) for c in range(3) if 3 * a + 5 * b + 7 * c <= space
         ]
         assert best[space] == pytest.approx(max(every))
+
+
+def test_the_table_counts_each_run_once():
+    """A run that is one piece takes one entry and its bytes once, so the table holds more of them."""
+    words = WordTokens(WORDS)
+    texts = pa.array(["hello world", "hello, straße! 12", "it's a hello-world world"])
+    want = [Tokenizer.from_file(WORDS).encode(t, add_special_tokens=False).ids for t in texts.to_pylist()]
+    assert [ids.tolist() for ids in words.encode(texts)] == want
+    held = sum(tokens.ENTRY_BYTES + len(run) + len(ids) for run, ids in words.known.items())
+    assert words.held == held
