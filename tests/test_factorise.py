@@ -86,6 +86,44 @@ def test_split_ids_have_the_same_factors(spark, monkeypatch, batch):
     assert all(whole[k] == pytest.approx(parts[k], abs=1e-4) for k in whole)
 
 
+def test_groups_of_runs_give_each_run_its_own_factors(spark, rated):
+    """Seven runs travel in three groups, whose tasks meet the same packed rows of one large cell."""
+    rows = rated[0].withColumn("fold", F.pmod(F.col("item_id"), F.lit(2)).cast("int"))
+    runs = [factorise.Run(rank, 0.1, held) for rank in (2, 3) for held in (-1, 0, 1)] + [factorise.Run(4, 0.2)]
+    groups = factorise._groups(runs)
+    assert [len(g) for g in groups] == [3, 2, 2] and sorted(map(str, sum(groups, []))) == sorted(map(str, runs))
+    where = factorise.cells(rows, "user", "t")
+    assert where.packed.count() == 1 == where.rows.select("cell").distinct().count()
+    ids = where.theirs.select("id").distinct()
+    start = factorise._begin(ids, runs, "t")
+    made = factorise._half_step(where, start, runs, "t")
+    for run in runs:
+        alone = factors_of(factorise._half_step(where, factorise._of_run(start, runs, run), [run], "t"))
+        mine = factors_of(factorise._of_run(made, runs, run))
+        assert mine.keys() == alone.keys()
+        assert all(mine[k] == pytest.approx(alone[k], abs=1e-5, nan_ok=True) for k in alone)
+
+
+def test_cells_are_large_enough_to_send_factors_seldom(spark):
+    """60 000 rows of 300 users and 200 items: one cell, so each id is sent once, not twice."""
+    rows = spark.range(60_000).selectExpr("id % 300 AS user_id", "id DIV 300 AS item_id", "1.0D AS rating", "0 AS fold")
+    where = factorise.cells(rows, "user", "t")
+    assert where.theirs.count() == 200 and where.packed.count() > 0
+
+
+def test_rows_of_an_id_are_added_in_steps(monkeypatch):
+    rng = np.random.default_rng(0)
+    own, place, fold = np.repeat([1, 2], [90, 3]), rng.integers(0, 9, 93), rng.integers(0, 2, 93)
+    rating, table, runs = rng.normal(size=93), rng.normal(size=(10, 3)), [factorise.Run(3, 0.1, 1)]
+    table[4], table[9] = np.nan, 0
+    monkeypatch.setattr(factorise, "BATCH", 30)
+    got = {int(k): (g, r, n) for some, _, *x in factorise._equations(own, place, rating, fold, [table], runs) for k, g, r, n in zip(some, *x)}
+    for at, number in enumerate((1, 2)):
+        rows = (own == number) & (fold == 0) & (place != 4) & (place != 9)
+        v = table[place[rows]]
+        assert np.allclose(got[at][0], v.T @ v) and np.allclose(got[at][1], rating[rows] @ v) and got[at][2] == rows.sum()
+
+
 def test_search_reads_smaller_iterations_off_the_way(fitted, rated):
     assert [sorted(p) for p, _ in fitted.points] == [["maxIter", "rank", "regParam"]] * 8
     best = min(fitted.points, key=lambda p: p[1])
