@@ -40,6 +40,17 @@ def test_null_and_blank_text_have_no_tokens(edges):
     assert words[3] == ["lead"] and words[4] == ["side"] and words[5] == ["trail"]
 
 
+def test_prose_pattern_is_a_list_of_ranges_and_takes_out_the_same(spark):
+    """Every code point, alone and in runs between letters and blanks."""
+    points = [chr(i) for i in range(1, 0x110000) if not 0xD800 <= i <= 0xDFFF]
+    rows = ["".join(points[a : a + 997]) for a in range(0, len(points), 997)]
+    rows += ["".join(f"a{c} {c}{c}Z" for c in points[a : a + 97]) for a in range(0, 4000, 97)] + ["", "\x00x"]
+    df = spark.createDataFrame([(r,) for r in rows], "t string")
+    old, new = (F.regexp_replace("t", p, "") for p in (r"[^a-zA-Z\s]", text.NOT_PROSE))
+    assert df.where(~old.eqNullSafe(new)).count() == 0
+    assert "^" not in text.NOT_PROSE
+
+
 def test_cleaners(spark):
     row = (
         spark.createDataFrame(
