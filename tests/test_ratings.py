@@ -172,6 +172,53 @@ def test_ties_go_to_the_lower_neighbour(spark):
     assert sorted((r.rank, r.neighbour) for r in near) == [(1, 3), (2, 1)]
 
 
+def test_candidates_and_scores_are_not_shuffled(spark, rows):
+    """Lists and similarities go to strips; nothing after their join crosses the network."""
+    similar = spark.createDataFrame([(1, 5, 0.5)], "item_i long, item_j long, similarity double")
+    train = rows.selectExpr("user_id", "item_id", "1.0D residual")
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        near = neighbours.top_neighbours(rows, train, similar, pairs.UserLoad(None, 3), 2)
+        lines = near._jdf.queryExecution().executedPlan().toString().splitlines()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    moved = [n for n, line in enumerate(lines) if "Exchange" in line]
+    join = [n for n, line in enumerate(lines) if "neighbour" in line and "Join" in line]
+    assert len(moved) == 4 and len(join) == 1 and min(moved) > join[0], "\n".join(lines)
+
+
+def test_repeated_ratings_count_as_rows_and_bring_all_residuals(spark):
+    test = spark.createDataFrame([(1, 5), (1, 5)], "user_id long, item_id long")
+    train = spark.createDataFrame(
+        [(1, 1, 0.5), (1, 1, None), (1, 2, 0.25), (2, 1, 0.125)], "user_id long, item_id long, residual double"
+    )
+    similar = spark.createDataFrame([(1, 5, 0.9), (2, 5, 0.5)], "item_i long, item_j long, similarity double")
+    load = pairs.UserLoad(None, 2)
+    for k, want in ((1, []), (2, []), (3, [(3, 2, 0.25)])):
+        near = neighbours.top_neighbours(test, train, similar, load, k).collect()
+        got = sorted((r["rank"], r.neighbour, r.residual or 0) for r in near)
+        assert got == [(n, 1, x) for n in range(1, min(k, 2) + 1) for x in (0, 0.5)] + want
+
+
+@pytest.mark.parametrize("most", [50_000, 2])
+def test_hot_items_are_spread_over_strips(spark, monkeypatch, most):
+    monkeypatch.setattr(neighbours, "ROWS_PER_STRIP", most)
+    test = spark.range(40).selectExpr("id user_id", "5L item_id").union(spark.sql("SELECT 1L, 1L"))
+    train = spark.range(40).selectExpr("id user_id", "explode(array(1L, 2L, 5L)) item_id", "0.5D residual")
+    similar = spark.createDataFrame(
+        [(1, 5, 0.5), (2, 5, 0.7), (1, 2, 0.1)], "item_i long, item_j long, similarity double"
+    )
+    hot = neighbours.hot_items(test, most, 16)
+    assert (hot is None) if most > 40 else [tuple(r) for r in hot.collect()] == [(5, 16)]
+    lists = neighbours._lists(test, train, hot, 16)
+    assert (lists.select("strip").distinct().count() > 4) == (most == 2)
+    near = neighbours.top_neighbours(test, train, similar, pairs.UserLoad(None, 16), 2).collect()
+    got = sorted((r.user_id, r.item_id, r["rank"], r.neighbour, r.residual) for r in near)
+    want = [(u, 5, k, 3 - k, 0.5) for u in range(40) for k in (1, 2)]
+    assert got == sorted([*want, (1, 1, 1, 5, 0.5), (1, 1, 2, 2, 0.5)])
+
+
 def test_blends(spark):
     def table(rows):
         return spark.createDataFrame(rows, "user_id long, item_id long, rating double, prediction double")
