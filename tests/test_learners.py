@@ -1,12 +1,15 @@
 """Learners have no SQL: check shapes, invariants and repeatability."""
 
 import math
+import threading
 
 import pytest
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.ml.classification import LogisticRegression
+from pyspark.ml.tuning import CrossValidator
 from pyspark.sql import functions as F
 
+from tallyloom.functions import keys
 from tallyloom.operators import classify, content, factorise, features, topics, tuning
 from tallyloom.plans import inputs, postings, ratings, tweets
 from tallyloom.sources import writers
@@ -70,6 +73,36 @@ def test_one_point_grid_runs_its_folds_and_is_fitted_on_all_rows(ready):
     plain = lr.fit(ready.train, points[0])
     assert plain.coefficients.toArray() == pytest.approx(full.model.coefficients.toArray())
 
+class Together(LogisticRegression):
+    """Fits only when as many others have come to the same point."""
+
+    barrier = None
+
+    def fit(self, dataset, params=None):
+        Together.barrier.wait(120)
+        return super().fit(dataset, params)
+
+@pytest.mark.parametrize("regularised, fits", [([0.1], 4), ([0.1, 0.2], 6)])
+def test_folds_run_side_by_side(ready, regularised, fits):
+    key = F.concat(F.lit("fold:"), F.col("job_id").cast("string"))
+    lr = Together()
+    points = tuning.grid(lr, maxIter=[2], regParam=regularised)
+    Together.barrier = threading.Barrier(fits, action=lambda: setattr(Together, "barrier", threading.Barrier(1)))
+    found = tuning.cross_validate(lr, points, BinaryClassificationEvaluator(), ready.train, key, 3, parallel=fits)
+    plain = LogisticRegression()
+    points = tuning.grid(plain, maxIter=[2], regParam=regularised)
+    theirs = CrossValidator(estimator=plain, estimatorParamMaps=points, numFolds=3, foldCol="fold",
+                            evaluator=BinaryClassificationEvaluator())
+    theirs = theirs.fit(ready.train.withColumn("fold", keys.fold_number(key, 3)))
+    assert found.fold_metrics == pytest.approx(theirs.avgMetrics, abs=1e-12)
+    assert found.model.coefficients.toArray() == pytest.approx(theirs.bestModel.coefficients.toArray())
+
+def test_a_fold_out_of_range_is_an_error(ready):
+    lr = LogisticRegression(maxIter=1)
+    for key in (F.lit(7), F.lit(None).cast("int")):
+        with pytest.raises(Exception, match="fold number must be in"):
+            tuning.cross_validate(lr, [{}], BinaryClassificationEvaluator(), ready.train, key, 2, keyed=False)
+
 def test_full_searches_have_all_their_fits():
     sizes = {n: 1 for n in classify.GRIDS}
     assert {n: math.prod(map(len, g.values())) for n, g in classify.GRIDS.items()} == sizes
