@@ -32,6 +32,8 @@ GRIDS = {
     "forest": {"numTrees": [80], "maxDepth": [8]},
 }
 FOLDS = 10
+#: Learners with a weight for each slot, which their fits hold many times over on the driver.
+LINEAR = ["logistic", "svc"]
 #: Stored bytes of feature vectors to a task of a fit.
 TASK_BYTES = 32_000_000
 
@@ -87,7 +89,7 @@ def feature_stages(prepared: DataFrame, widths: dict[str, int]) -> list:
     stages = [features.imputer(flags)] if flags else []
     for name, width in widths.items():
         stages += features.hashed_tfidf(name, f"{name}_tfidf", width)
-    return [*stages, features.assembler([*flags, *[f"{w}_tfidf" for w in widths]])]
+    return stages
 
 
 @dataclass
@@ -113,11 +115,15 @@ def build_features(
         for w in words
     }
     model = Pipeline(stages=feature_stages(prepared, widths)).fit(train)
-    keep = ["job_id", "label", features.bare()]
     flags = [c for c in FLAGS if c in prepared.columns]
+    found = {f"{w}_tfidf": width for w, width in widths.items()}
+
+    def written(rows: DataFrame, name: str) -> DataFrame:
+        return features.assembled(model.transform(rows), ["job_id", "label"], flags, found, name)
+
     return Prepared(
-        store.by_size(store.materialise(model.transform(train).select(*keep), "train-features"), TASK_BYTES),
-        store.materialise(model.transform(test).select(*keep), "test-features"),
+        store.by_size(written(train, "train-features"), TASK_BYTES),
+        written(test, "test-features"),
         len(flags) + sum(widths.values()),
     )
 
@@ -141,6 +147,7 @@ def search(
         data.train,
         F.concat(F.lit("fold:"), F.col("job_id").cast("string")),
         folds,
+        slots=data.width if name in LINEAR else None,
     )
 
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
 import pyarrow as pa
@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types a
 
 from tallyloom import store
 from tallyloom.functions import keys
+from tallyloom.functions.vectors import vector_entries
 from tallyloom.operators import terms
 
 
@@ -42,6 +43,47 @@ def assembler(columns: Sequence[str], output: str = "features") -> VectorAssembl
     return VectorAssembler(inputCols=list(columns), outputCol=output, handleInvalid="error")
 
 
+def assembled(df: DataFrame, keep: Sequence[str], numbers: Sequence[str], vectors: dict[str, int], name: str) -> DataFrame:
+    """``keep`` and ``features``: numbers and vectors (of the widths given) side by side, as a written table.
+
+    What ``assembler`` gives, and as it stores it: without zeros, dense where that is shorter. But the
+    assembler makes a name for every slot on the driver, some hundreds of bytes each, to be thrown away.
+    """
+    missing, entries, width = F.lit(False), [], 0
+    for column in numbers:
+        missing = missing | F.col(column).isNull() | F.isnan(column)
+        entries.append(F.array(F.struct(F.lit(width).alias("index"), F.col(column).cast("double").alias("value"))))
+        width += 1
+    for column, size in vectors.items():
+        missing = missing | F.col(column).isNull()
+        entries.append(F.transform(vector_entries(F.col(column)), _moved(width)))
+        width += size
+    wrong = F.raise_error(F.lit("a feature is missing")).cast("array<struct<index:int,value:double>>")
+    stored = F.when(missing, wrong).otherwise(F.filter(F.concat(*entries), lambda e: e["value"] != 0.0))
+    rows = df.select(*keep, stored.alias("_e"))
+    nothing = F.transform(
+        F.array_except(F.sequence(F.lit(0), F.lit(width - 1)), F.col("_e")["index"]),
+        lambda i: F.struct(i.alias("index"), F.lit(0.0).alias("value")),
+    )
+    every = F.array_sort(F.concat(F.col("_e"), nothing))["value"]
+    dense = 1.5 * (F.size("_e") + 1.0) >= width
+    vector = F.struct(
+        F.when(dense, 1).otherwise(0).cast("tinyint").alias("type"),
+        F.when(~dense, width).cast("int").alias("size"),
+        F.when(~dense, F.col("_e")["index"]).alias("indices"),
+        F.when(dense, every).otherwise(F.col("_e")["value"]).alias("values"),
+    )
+    path = store.new_path(df.sparkSession, name)
+    with store.shuffles_deleted(df.sparkSession):
+        rows.select(*keep, vector.alias("features")).write.parquet(path)
+    schema = T.StructType([*rows.select(*keep).schema, T.StructField("features", VectorUDT())])
+    return df.sparkSession.read.schema(schema).parquet(path)
+
+
+def _moved(by: int) -> Callable[[Column], Column]:
+    return lambda e: F.struct((e["index"] + by).alias("index"), e["value"].alias("value"))
+
+
 def bare(column: str = "features") -> Column:
     """The vector column without its attribute names.
 

@@ -17,6 +17,8 @@ from tallyloom.functions import keys
 
 # How many fits run at a time, at least and at most, unless told otherwise.
 PARALLEL_FITS = (4, 16)
+#: Numbers a weight that a fit holds on the driver: ten corrections of two, and what its steps need.
+HELD = 40
 
 
 def grid(estimator: Estimator, **values: Sequence) -> list[dict]:
@@ -44,6 +46,11 @@ class Tuned:
         return spark.createDataFrame(rows, "point int, params string, metric double")
 
 
+def _heap(spark: SparkSession) -> int:
+    """Bytes that the driver's heap may grow to."""
+    return spark.sparkContext._jvm.java.lang.Runtime.getRuntime().maxMemory()
+
+
 def cross_validate(
     estimator: Estimator,
     points: list[dict],
@@ -53,6 +60,7 @@ def cross_validate(
     folds: int,
     parallel: int | None = None,
     keyed: bool = True,
+    slots: int | None = None,
 ) -> Tuned:
     """Fit every grid point on every fold, then the best point on all of ``train``.
 
@@ -61,12 +69,16 @@ def cross_validate(
     Pass a ``train`` that is a written or persisted table: each fold reads it twice. As many fits
     run at a time as fill the cores with the tasks of ``train``, whatever their folds and points:
     ``CrossValidator`` runs the points of one fold side by side, and one fold after the other.
+
+    ``slots`` is the number of weights of a learner whose fits hold theirs on the driver: no more fits run
+    at a time than half its heap holds.
     """
+    spark = train.sparkSession
     if parallel is None:
-        cores = train.sparkSession.sparkContext.defaultParallelism
         least, most = PARALLEL_FITS
-        parallel = min(most, max(least, cores // max(1, train.rdd.getNumPartitions())))
-    spark = train.sparkSession
+        parallel = min(most, max(least, spark.sparkContext.defaultParallelism // max(1, train.rdd.getNumPartitions())))
+        if slots:
+            parallel = max(1, min(parallel, _heap(spark) // (2 * 8 * HELD * slots)))
     fold = keys.fold_number(key, folds) if keyed else key
     wrong = F.raise_error(F.concat(F.lit(f"fold number must be in [0, {folds}): "), F.coalesce(fold.cast("string"), F.lit("NULL"))))
     rows = train.withColumn("fold", F.when(fold.between(0, folds - 1), fold).otherwise(wrong.cast("int")))

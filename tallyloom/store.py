@@ -43,13 +43,13 @@ def new_path(spark: SparkSession, name: str) -> str:
 def materialise(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` as Parquet in the shared folder and return the table read back."""
     path = new_path(df.sparkSession, name)
-    with _shuffles_deleted(df.sparkSession):
+    with shuffles_deleted(df.sparkSession):
         df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 @contextmanager
-def _shuffles_deleted(spark: SparkSession):
+def shuffles_deleted(spark: SparkSession):
     """Shuffle files of what is run here go when it ends. Else they stay until the driver collects its
     garbage, and a workflow of many written tables holds the shuffles of them all."""
     before = spark.conf.get(SHUFFLES_GO, None)
