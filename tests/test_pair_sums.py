@@ -1,0 +1,55 @@
+"""Sums over pairs of items made a few matches at a time, against Spark's own grouping."""
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from tallyloom.operators import pairs, similarity
+
+
+@pytest.fixture(scope="module")
+def rated(spark):
+    """Rows that come twice, NULL users, items and ratings, large and negative ids, and one user with most items."""
+    rng = np.random.default_rng(5)
+    rows = [(u, int(i) * 10**10 - 10**11, float(rng.integers(1, 6))) for u in range(60) for i in rng.choice(25, 6)]
+    rows += [(99, i * 10**10 - 10**11, 2.0) for i in range(22)] + [(3, 10**10, None), (None, 0, 1.0), (4, None, 1.0)] + rows[:9]
+    return spark.createDataFrame(rows, "user_id long, item_id long, rating double")
+
+
+@pytest.mark.parametrize("tiles, at_once", [(1, 1_000_000), (3, 7), (6, 60)])
+def test_sums_are_those_of_the_matches(spark, monkeypatch, rated, tiles, at_once):
+    monkeypatch.setattr(pairs, "MATCHES_AT_ONCE", at_once)
+    load = pairs.UserLoad(None, 4, tiles)
+    x, y = F.col("a")["value"], F.col("b")["value"]
+    want = pairs.matches_by_cell(rated, "item_id", "rating", load).groupBy(F.col("a")["id"].alias("a"), F.col("b")["id"].alias("b")).agg(
+        F.coalesce(F.sum(x * y), F.lit(0.0)), F.coalesce(F.sum(x * x), F.lit(0.0)), F.coalesce(F.sum(y * y), F.lit(0.0)), F.count(F.lit(1))
+    )
+    got = pairs.sums_by_cell(rated, "item_id", "rating", load)
+    assert got.columns == ["a", "b", "xy", "xx", "yy", "support"]
+    key = lambda r: (min(r[:2]), max(r[:2]))
+    found, expected = ({key(r): (r[2], *sorted(r[3:5]), r[5]) for r in rows.collect()} for rows in (got, want))
+    assert len(found) == got.count() > 100 and found.keys() == expected.keys()
+    assert all(found[k] == pytest.approx(expected[k]) for k in found)
+
+
+def test_similarities_keep_the_type_of_the_ids(spark, rated):
+    """Whole numbers are summed by numpy, other ids by Spark; both give the same."""
+    out = {}
+    for kind in ("int", "bigint", "string"):
+        rows = rated.withColumn("item_id", (F.col("item_id") / 10**10 + 20).cast("int").cast(kind))
+        means = similarity.item_means(rows)
+        found = similarity.item_similarities(rows, means, pairs.user_load(rows))
+        assert dict(found.dtypes)["item_i"] == kind
+        out[kind] = {tuple(sorted((int(r.item_i), int(r.item_j)))): (r.similarity, r.support) for r in found.collect()}
+    assert out["int"] == out["bigint"] == out["string"]
+
+
+def test_many_pairs_are_not_spilled_by_an_aggregation(spark, rated):
+    """Spark's grouping writes out most matches where a cell's pairs are more than its hash map holds."""
+    plan = similarity.item_similarities(rated, similarity.item_means(rated), pairs.user_load(rated))
+    text = plan._jdf.queryExecution().executedPlan().toString()
+    assert "MapInArrow" in text and "sum((a.value" not in text
+
+
+def test_no_rows(spark, rated):
+    assert pairs.sums_by_cell(rated.limit(0), "item_id", "rating", pairs.UserLoad(None, 4, 2)).count() == 0
