@@ -66,7 +66,7 @@ def assembled(df: DataFrame, keep: Sequence[str], numbers: Sequence[str], vector
         lambda i: F.struct(i.alias("index"), F.lit(0.0).alias("value")),
     )
     every = F.array_sort(F.concat(F.col("_e"), nothing))["value"]
-    dense = 1.5 * (F.size("_e") + 1.0) >= width
+    dense = 1.5 * F.size("_e") + 2.0 >= width
     vector = F.struct(
         F.when(dense, 1).otherwise(0).cast("tinyint").alias("type"),
         F.when(~dense, width).cast("int").alias("size"),

@@ -33,6 +33,18 @@ def test_assembled_vectors_are_those_of_the_assembler(spark):
             features.assembled(gone, ["k"], ["x", "y"], {"a": 6, "b": 9}, "t")
 
 
+@pytest.mark.parametrize("width", [2, 3, 5, 9, 20])
+def test_vectors_are_dense_where_those_of_the_assembler_are(spark, width):
+    """Numbers alone, and the same numbers with a vector, with any number of entries."""
+    names = [f"c{i}" for i in range(width)]
+    rows = [(k, *[float(i < k) for i in range(width)], Vectors.sparse(4, [0], [1.0])) for k in range(width + 1)]
+    df = spark.createDataFrame(rows, ["k", *names, "v"])
+    for vector in ({}, {"v": 4}):
+        theirs = VectorAssembler(inputCols=[*names, *vector], outputCol="features").transform(df).collect()
+        made = features.assembled(df, ["k"], names, vector, "t").collect()
+        assert {r.k: (type(r.features), r.features) for r in made} == {r.k: (type(r.features), r.features) for r in theirs}
+
+
 def test_feature_tables_are_made_without_an_assembler(spark, monkeypatch):
     """It names each slot on the driver."""
     monkeypatch.setattr(features, "assembler", None)
